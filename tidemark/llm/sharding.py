@@ -54,11 +54,12 @@ def fill(shards: list[str], slots: int = SLOTS, turns: list[int] | None = None)
 
 
 def slot_table(spark: SparkSession, shards: list[str], slots: int = SLOTS, turns: list[int] | None = None) -> DataFrame:
-    """(slot, shard) for each slot. The table is one literal of four bytes a slot that rows of a range
-    read from, so it needs no rows made in Python."""
-    packed = F.lit(bytearray(b"".join(k.to_bytes(4) for k in fill(shards, slots, turns))))
-    at = (F.col("id") * 4 + 1).cast("int")
-    shard = F.conv(F.hex(F.substring(packed, at, F.lit(4))), 16, 10).cast("int")
+    """(slot, shard) for each slot. The table is one literal of one, two or four bytes a slot that rows of
+    a range read from, so it needs no rows made in Python."""
+    width = 1 if len(shards) <= 1 << 8 else 2 if len(shards) <= 1 << 16 else 4
+    packed = F.lit(bytearray(b"".join(k.to_bytes(width) for k in fill(shards, slots, turns))))
+    at = (F.col("id") * width + 1).cast("int")
+    shard = F.conv(F.hex(F.substring(packed, at, F.lit(width))), 16, 10).cast("int")
     return spark.range(slots).select(F.col("id").cast("int").alias("slot"), shard.alias("shard"))
 
 
