@@ -171,24 +171,30 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
             own, lost, gained = [], [], []
             for text in bytes_of(batch.column(1)):
                 plain = (text or b"").decode()
-                own.append(sorted(features_of(set(_WORD.findall(plain.lower())))))
+                own.append(_packed(features_of(set(_WORD.findall(plain.lower())))))
                 pairs = [(features_of(a), features_of(b)) for a, b in swapped(plain)]
-                lost.append([sorted(a - b) for a, b in pairs])
-                gained.append([sorted(b - a) for a, b in pairs])
-            many = pa.list_(pa.list_(pa.int32()))
-            return [pa.array(own, pa.list_(pa.int32())), pa.array(lost, many), pa.array(gained, many)]
+                lost.append([_packed(a - b) for a, b in pairs])
+                gained.append([_packed(b - a) for a, b in pairs])
+            many = pa.list_(pa.binary())
+            return [pa.array(own, pa.binary()), pa.array(lost, many), pa.array(gained, many)]
 
         return make
 
     # The sample has at most two per_class rows, so it is broadcast and only its documents go to Python.
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    made = annotate(picked, ["doc_id", "text", "toxic"], "own array<int>, lost array<array<int>>, gained array<array<int>>", of).drop("text")
-    found = sorted(made.collect(), key=lambda r: (r.doc_id, r.own))
-    rows = [(np.array(r.own, np.int64), int(r.toxic)) for r in found]
-    pairs = [(np.array(a, np.int64), np.array(b, np.int64)) for r in found for a, b in zip(r.lost, r.gained, strict=True)]
+    made = annotate(picked, ["doc_id", "text", "toxic"], "own binary, lost array<binary>, gained array<binary>", of).drop("text")
+    rows, pairs = [], []
+    for r in sorted(made.toLocalIterator(), key=lambda r: (r.doc_id, r.own)):
+        rows.append((np.frombuffer(r.own, np.int32), int(r.toxic)))
+        pairs += [(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for a, b in zip(r.lost, r.gained, strict=True)]
     return train(rows, pairs, share)
 
 
+def _packed(buckets: set[int]) -> bytes:
+    """Buckets in order, as plain bytes: a sample's features are read by the driver."""
+    return np.array(sorted(buckets), np.int32).tobytes()
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted for each row of ``docs``; only doc_id and text are read."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
