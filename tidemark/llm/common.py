@@ -28,6 +28,15 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(fold(doc_id) == 0, F.lit(False))
 
 
+def below(hash_: Column, most: int, count: int) -> Column:
+    """True for about twice ``most`` of ``count`` rows, those with the smallest hashes; for all if there
+    are not so many. A sample of the ``most`` smallest then takes no more than these from the tasks,
+    however many tasks there are."""
+    if count <= 2 * most:
+        return F.lit(True)
+    return hash_ < F.lit(int(2 * most / count * 2.0**64) - (1 << 63))
+
+
 def bytes_of(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column; Arrow holds them already, so nothing is re-encoded."""
     if pa.types.is_large_string(column.type):

@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, annotate, bytes_of, fold, held_out
+from tidemark.llm.common import LOWER, annotate, below, bytes_of, fold, held_out
 
 UNKNOWN = "und"
 WIDTHS, FILTERS, WINDOW = (2, 3, 4, 5), 16, 256
-#: The training sample: documents of each language, and characters of each document.
-PER_LANGUAGE, STRETCH = 500, 320
+#: The training sample: documents of each language, characters of each document, languages.
+PER_LANGUAGE, STRETCH, MOST_LANGUAGES = 500, 320, 500
 EPOCHS, BATCH, RATE, DECAY = 30, 96, 0.02, 1e-5
 _STEP = 64
 _LETTER = regex.compile(r"\p{L}")
@@ -180,13 +180,21 @@ class Applied:
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """text and lang of the documents with the smallest id hashes in each language, folds but 0 only.
 
-    The rank is limited before rows are shuffled, so a language with most rows costs no more.
+    Languages are counted first, so that only about twice the rows wanted are ranked in the end, and
+    neither a language with most rows nor many tasks make that step larger.
     """
-    rank = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    size = F.length("text")
-    at = F.pmod(F.xxhash64("doc_id", F.lit("stretch")), F.greatest(size - STRETCH + 1, F.lit(1)))
-    able = docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & (size > 0)).select("doc_id", "lang", F.substring("text", at.cast("int") + 1, F.lit(STRETCH)).alias("text"))
-    return able.withColumn("__rank", F.row_number().over(rank)).where(F.col("__rank") <= per_language).select("text", "lang")
+    able = docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    counts = able.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"at most {MOST_LANGUAGES} languages")
+    order = F.xxhash64("doc_id")
+    chosen = F.lit(False)
+    for r in counts:
+        chosen = chosen | ((F.col("lang") == r.lang) & below(order, per_language, r["count"]))
+    at = F.pmod(F.xxhash64("doc_id", F.lit("stretch")), F.greatest(F.length("text") - STRETCH + 1, F.lit(1)))
+    rank = W.partitionBy("lang").orderBy(order, "doc_id", F.xxhash64("text"))
+    cut_out = able.where(chosen).select("doc_id", "lang", F.substring("text", at.cast("int") + 1, F.lit(STRETCH)).alias("text"))
+    return cut_out.withColumn("__rank", F.row_number().over(rank)).where(F.col("__rank") <= per_language).select("text", "lang")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import annotate, bytes_of, fold, held_out, keep_rows
+from tidemark.llm.common import annotate, below, bytes_of, fold, held_out, keep_rows
 
 #: The training sample: documents of each class, and swapped sentences of each document.
 PER_CLASS, SWAPS = 4000, 8
@@ -163,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     sample = None
     for y in (0, 1):
-        own = able.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        own = able.where((F.col("toxic") == y) & below(F.xxhash64("doc_id"), per_class, counts.get(y, 0))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         sample = own if sample is None else sample.unionByName(own)
 
     def of() -> Callable[[pa.RecordBatch], list[pa.Array]]:

@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import below
+
 #: The training sample, the trees and their shape.
 SAMPLE, TREES, DEPTH, BINS, RATE, LEAST = 20_000, 24, 3, 32, 0.3, 20
 #: Rows by which a suffix's share leans to that of all labelled rows.
@@ -208,8 +210,10 @@ def grow(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES) -> Tre
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> Trees:
     """Trees from at most ``sample`` labelled feature rows, those with the smallest hashes."""
-    order = (F.xxhash64("page_id", "host", "path"), "page_id", "host", "path", *FEATURES)
-    picked = rows.where(F.col("ruled").isNotNull()).orderBy(*order).limit(sample)
+    order = F.xxhash64("page_id", "host", "path")
+    labelled = rows.where(F.col("ruled").isNotNull())
+    # The count needs neither the features nor the suffixes' shares; Spark prunes both.
+    picked = labelled.where(below(order, sample, labelled.count())).orderBy(order, "page_id", "host", "path", *FEATURES).limit(sample)
     found = picked.select(*FEATURES, (F.col("ruled") == "block").cast("double").alias("y")).collect()
     table = np.array([tuple(r) for r in found], np.float64).reshape(-1, len(FEATURES) + 1)
     return grow(table[:, :-1], table[:, -1])
