@@ -1,0 +1,80 @@
+"""Chat formatting: exact round trips, masks, and templates of other kinds."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+from tidemark.llm import chat
+from tidemark.llm.common import table
+
+ROWS = "conv_id bigint, turn bigint, role string, text string, formatted int"
+PARTS = ["</s>", "<s>", "[INST]", "[/INST]", "[OUT]", "[\\OUT]", "<\\/s>", "\\", "[", "<", "/", "s>", "INST]", "ok ", "é\n", "[ROLE]", "[TEXT]", "[/ROLE]", "[SYS]", ""]
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def check(spark, rows):
+    convs = {}
+    for conv, turn, role, text, _ in rows:
+        convs.setdefault(conv, []).append(((turn is not None, turn or 0), role or "", text or ""))
+    want = []
+    for conv, turns in convs.items():
+        turns.sort()
+        learned = "".join(t for _, r, t in turns if r == "assistant")
+        formatted = chat.default_template([(r, t) for _, r, t in turns])
+        want.append((conv, len(turns), digest("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(learned), digest(learned), len(formatted)))
+    got = chat.digest(chat.format_conversations(spark.createDataFrame(rows, ROWS)))
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
+def test_table(spark, sf):
+    rows = [(r.conv_id, r.turn, r.role, r.text, 0) for r in table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    check(spark, [*rows, (-7, 0, "user", "</s>[INST] ok [/INST]", 0), (-7, 1, "assistant", "</s>[INST] ok [/INST]", 0)])
+
+
+def test_odd_rows(spark):
+    random.seed(2)
+    rows = [(1, None, None, None, 1), (1, 0, "assistant", None, 1), (1, 0, "assistant", None, 1), (None, 1, "user", "x", 1), (2, 1, "tool [TEXT]", "[/ROLE]", 1), (3, 0, "assistant", "z" * 300_000, 1)]
+    for conv in range(10, 40):
+        rows += [(conv, k, random.choice(["user", "assistant", "system", "tool", "role", "text"]), "".join(random.choices(PARTS, k=6)), k) for k in range(random.randrange(1, 9))]
+    check(spark, rows)
+
+
+def test_empty(spark):
+    assert chat.digest(chat.format_conversations(spark.createDataFrame([], ROWS))).collect() == []
+
+
+def test_round_trip_of_escapes():
+    random.seed(4)
+    for _ in range(2000):
+        turns = [(random.choice(["user", "assistant", "system", "other", "[TEXT]"]), "".join(random.choices(PARTS, k=5))) for _ in range(4)]
+        assert chat.read_back(chat.default_template(turns)) == turns
+        made = chat.render(chat.default_template, turns)
+        assert not made.rewrites
+        assert [chat.unescape(made.text[a:b]) for a, b in made.spans] == [t for _, t in turns]
+
+
+def test_template_that_rewrites_history():
+    def forgetful(turns):
+        """Marks only the last turn, so an earlier turn's mark goes when another follows."""
+        return "".join(f"{'>' if k == len(turns) - 1 else '-'}{t};" for k, (_, t) in enumerate(turns))
+
+    turns = [("user", "one"), ("assistant", "two"), ("user", "two")]
+    made = chat.render(forgetful, turns)
+    assert made.rewrites and made.text == "-one;-two;>two;"
+    assert [made.text[a:b] for a, b in made.spans] == ["one", "two", "two"]
+
+
+def test_template_that_drops_a_text():
+    made = chat.render(lambda turns: "".join("[cut]" if r == "assistant" else t for r, t in turns), [("user", "a"), ("assistant", "secret"), ("user", "b")])
+    assert [made.text[a:b] for a, b in made.spans] == ["a", "", "b"] and not made.rewrites
+
+
+def test_probe_in_a_text():
+    turns = [("user", chat._PROBE), ("assistant", f"x{chat._PROBE}")]
+    made = chat.render(chat.default_template, turns)
+    assert [made.text[a:b] for a, b in made.spans] == [t for _, t in turns]
