@@ -228,14 +228,14 @@ def soc_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT event_type, CAST(ts AS DATE) AS market_date, count(*) AS observation_count,
-CAST(avg(CAST(value AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS average_value, CAST(min(value) AS DOUBLE) AS minimum_value, CAST(max(value) AS DOUBLE) AS maximum_value,
+CAST((2 * CAST(sum(CAST(value AS DECIMAL(18,4))) * 10000 AS HUGEINT) * 10000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e8 AS average_value, CAST(min(value) AS DOUBLE) AS minimum_value, CAST(max(value) AS DOUBLE) AS maximum_value,
 CAST(sum(CASE WHEN value < 10 THEN 1 ELSE 0 END) AS BIGINT) AS low_value_count FROM events GROUP BY 1, 2""")
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, mean, extremes and a conditional count of each series and day."""
     events = _table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("date").alias("market_date"), "value")
     return events.groupBy("event_type", "market_date").agg(
         F.count("*").alias("observation_count"),
-        F.avg(_money("value")).cast("decimal(38,4)").alias("average_value"),
+        F.avg(_money("value")).cast("double").alias("average_value"),
         F.min("value").alias("minimum_value"),
         F.max("value").alias("maximum_value"),
         _when(F.col("value") < 10).alias("low_value_count"),
