@@ -164,7 +164,7 @@ def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int =
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         # Of an item that is in the table more than once only different texts count.
-        yield Phrases.of(sorted({(r.item, bytes(r.text)) for r in part.toLocalIterator()}, key=lambda x: (x[0] is None, x)), window)
+        yield Phrases.of(sorted({(r.item, bytes(r.text)) for r in part.collect()}, key=lambda x: (x[0] is None, x)), window)
 
 
 _COLUMNS = "doc_id bigint, n_words bigint, n_hit bigint, spans array<struct<first:int,last:int>>, items array<string>"

@@ -52,7 +52,8 @@ def cut(texts: list[bytes], window: int = WINDOW, overlap: int = WIDTHS[-1] - 1)
     owner = np.repeat(np.arange(len(texts)), counts)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     starts = (ends - room)[owner] + nth * (window - overlap)
-    return line[starts[:, None] + np.arange(window)], counts
+    # Views of the line are gathered as bytes; an array of places would take eight times as much.
+    return np.lib.stride_tricks.sliding_window_view(line, window)[starts] if len(starts) else np.zeros((0, window), np.uint8), counts
 
 
 @dataclass

@@ -32,9 +32,13 @@ from tidemark.llm.common import annotate, below, bytes_of, fold, held_out, keep_
 #: The training sample: documents of each class, and swapped sentences of each document.
 PER_CLASS, SWAPS = 4000, 8
 BUCKETS, STEMS = 1 << 20, (3, 4, 5, 6)
-#: A feature is in the model if so many sampled documents have it, and if it is among the most telling.
-LEAST_DOCS, FEATURES = 4, 20_000
-ROUNDS, RATE, RIDGE, FAIRNESS = 250, 0.05, 1e-4, 0.1
+#: A feature is in the model if so many sampled documents have it, if its share of toxic documents is so
+#: many standard errors from that of all, and if it is among the most telling. Without the second, rare
+#: words that chance put into toxic documents would explain the sample away.
+LEAST_DOCS, TELLING, FEATURES = 3, 4.0, 20_000
+ROUNDS, RATE, RIDGE, FAIRNESS = 250, 0.05, 1e-3, 0.1
+#: How much more a missed toxic document costs than a clean one that is rejected.
+MISSED = 3.0
 CACHE = 300_000
 
 # Terms that name groups of people, by kind; a term is swapped for others of its kind.
@@ -124,7 +128,7 @@ def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.n
     hits = np.bincount(bucket, weights=labels[owner], minlength=BUCKETS)
     rate = labels.mean()
     telling = np.abs(hits - docs * rate) / np.sqrt(np.maximum(docs, 1) * rate * (1 - rate))
-    telling[docs < LEAST_DOCS] = 0
+    telling[(docs < LEAST_DOCS) | (telling < TELLING)] = 0
     chosen = np.flatnonzero(telling > 0)
     chosen = np.sort(chosen[np.lexsort((chosen, -telling[chosen]))[:FEATURES]])
     number = np.full(BUCKETS, -1)
@@ -135,7 +139,8 @@ def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.n
     gained = [(k, number[b], 1.0) for k, (gone, new) in enumerate(pairs) for b in new if number[b] >= 0]
     swaps = np.array(lost + gained, np.float64).reshape(-1, 3)
     pair, place, sign = swaps[:, 0].astype(int), swaps[:, 1].astype(int), swaps[:, 2]
-    weight = np.where(labels == 1, share / rate, (1 - share) / (1 - rate)) / len(rows)
+    weight = np.where(labels == 1, MISSED * share / rate, (1 - share) / (1 - rate))
+    weight /= weight.sum()
     w, bias = np.zeros(len(chosen)), _logit(share)
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
@@ -184,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     made = annotate(picked, ["doc_id", "text", "toxic"], "own binary, lost array<binary>, gained array<binary>", of).drop("text")
     rows, pairs = [], []
-    for r in sorted(made.toLocalIterator(), key=lambda r: (r.doc_id, r.own)):
+    for r in sorted(made.collect(), key=lambda r: (r.doc_id, r.own)):
         rows.append((np.frombuffer(r.own, np.int32), int(r.toxic)))
         pairs += [(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for a, b in zip(r.lost, r.gained, strict=True)]
     return train(rows, pairs, share)
