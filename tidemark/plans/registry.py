@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import relational
+from tidemark.plans import market, relational
 
-_MODULES = (relational,)
+_MODULES = (relational, market)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,17 +6,22 @@ three that never finished, whose rows no model may show.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, WAREHOUSE_SCHEMA
 from tidemark.operators import normalize, revision
-from tidemark.schemas import RAW
-
-STEPS = ("initial", "repeat", "revision", "reappearance", "late")
+from tidemark.schemas import RAW, SOURCE
+
+#: The story: what the source says at each step, and the year of the interval it says it about.
+STORY = {"initial": ("10", 2026), "repeat": ("10", 2026), "revision": ("20", 2026), "reappearance": ("10", 2026), "late": ("10", 2025)}
+STEPS = tuple(STORY)
+#: Runs that never finished, by number; they say their own number. Those of the load come ten later.
+UNFINISHED = {100: "STARTED", 101: "FAILED", 102: "COMMITTED"}
+VERSION = "0.1.0"
 HUB = "TH_NP15_GEN-APND"
 PROVENANCE = {"retrieved_at_utc": datetime(2026, 9, 1), "source_url": "https://example.invalid/synthetic", "source_method": "fixture", "library_version": "0.36.0"}
 
@@ -33,55 +38,74 @@ def source_frame(spark: SparkSession, product: str, value: str, year: int = 2026
     return spark.createDataFrame([(*row.values(), *map(Decimal, numbers.values()))], schema)
 
 
-def build(spark: SparkSession, step: str, ineligible: bool = True) -> dict[str, DataFrame]:
-    """The raw tables as they stand after a step."""
-    last, rows = STEPS.index(step), {name: [] for name in RAW}
+@dataclass(frozen=True)
+class _Run:
+    """A run of the story. ``sequence``: of its commit; runs of a step are ten apart, the load's follow."""
+
+    number: int
+    product: str
+    value: str
+    year: int
+    status: str
+    sequence: int
+
+    @property
+    def run_id(self) -> str:
+        return f"{self.number:032x}"
+
+    @property
+    def known(self) -> datetime | None:
+        return datetime(2026, 9, 1) + timedelta(minutes=self.number) if self.status == "SUCCEEDED" else None
+
+
+def _runs(product: str, step: str, ineligible: bool) -> list[_Run]:
+    own = 1 if product == "lmp" else 2
+    told = [_Run(10 * k + own, product, value, year, "SUCCEEDED", 10 * k + own) for k, (value, year) in enumerate(list(STORY.values())[: STEPS.index(step) + 1])]
+    unfinished = [_Run(n + (10 if product == "load" else 0), product, str(n), 2026, status, n + 1) for n, status in UNFINISHED.items()]
+    return told + unfinished * ineligible
+
+
+_ROWS: dict[tuple[str, bool], dict[str, list[tuple]]] = {}
+
+
+def _rows(spark: SparkSession, step: str, ineligible: bool) -> dict[str, list[tuple]]:
+    """The tables' rows, worked out once: they are the same for every session."""
+    if (step, ineligible) in _ROWS:
+        return _ROWS[step, ineligible]
+    out: dict[str, list[tuple]] = {name: [] for name in RAW if name != "warehouse_control"}
+
+    def add(table: str, row: dict) -> None:
+        out[table].append(tuple(row.get(n) for n in RAW[table].names))
+
     for product in ("lmp", "load"):
-        contents: set[str] = set()
+        stored: set[str] = set()
         latest: dict[str, tuple[str, int]] = {}
+        for run in _runs(product, step, ineligible):
+            request = revision.Request(product, date(run.year, 8, 1), HUB if product == "lmp" else None)
+            source = normalize.normalize(product, source_frame(spark, product, run.value, run.year), PROVENANCE).persist()
+            records = revision.batch(request, source)
+            ids = spark.createDataFrame([(c,) for c in stored], "content_id string")
+            states = spark.createDataFrame([(k, *v) for k, v in latest.items()], "logical_key string, content_hash string, ordinal bigint")
+            change = revision.plan(product, run.run_id, records, ids, states, run.sequence - 1)
+            contents, moves = change.contents.collect(), change.transitions.collect()
+            source.unpersist()
+            for r in contents:
+                add(f"{product}_contents", r.asDict() | {"first_seen_at": run.known})
+            for r in moves:
+                add(f"{product}_state_transitions", r.asDict() | {"known_at": run.known})
+            if run.status == "SUCCEEDED":
+                stored.update(r.content_id for r in contents)
+                latest.update((r.logical_key, (r.content_hash, r.ordinal)) for r in moves)
+            manifest = {"run_id": run.run_id, "request_id": request.request_id, "source": SOURCE, "product": product, "requested_date": request.day, "requested_location": request.location}
+            manifest |= {"status": run.status, "commit_completed": run.status in ("SUCCEEDED", "COMMITTED"), "knowledge_at": run.known, "completed_at": run.known}
+            manifest |= {"started_at": (run.known or datetime(2026, 9, 1)) - timedelta(seconds=1), "commit_sequence": run.sequence, "batch_hash": change.batch_hash}
+            manifest |= {"package_version": VERSION, "library_version": PROVENANCE["library_version"], "warehouse_schema": WAREHOUSE_SCHEMA, "logical_key_schema": KEY_SCHEMA, "content_hash_schema": CONTENT_SCHEMA}
+            manifest |= dict.fromkeys(("rows_fetched", "rows_normalized", "rows_accepted"), change.accepted) | {"rows_rejected": 0, "new_contents": len(contents), "new_transitions": len(moves)}
+            add("ingestion_runs", manifest)
+    _ROWS[step, ineligible] = out
+    return out
+
 
-        def planned(run_id: str, value: str, sequence: int, year: int = 2026, product: str = product, contents: set = contents, latest: dict = latest):
-            request = revision.Request(product, date(year, 8, 1), HUB if product == "lmp" else None)
-            records = revision.batch(request, normalize.normalize(product, source_frame(spark, product, value, year), PROVENANCE))
-            stored = spark.createDataFrame([(c,) for c in contents], "content_id string")
-            states = spark.createDataFrame([(k, h, o) for k, (h, o) in latest.items()], "logical_key string, content_hash string, ordinal bigint")
-            return request, revision.plan(product, run_id, records, stored, states, sequence)
-
-        def run_row(request, run_id: str, status: str, known: datetime | None, started: datetime, sequence: int, change) -> dict:
-            return {
-                "run_id": run_id, "request_id": request.request_id, "source": "CAISO", "product": request.product, "requested_date": request.day,
-                "requested_location": request.location, "started_at": started, "completed_at": known, "knowledge_at": known, "status": status,
-                "commit_completed": status in ("SUCCEEDED", "COMMITTED"), "package_version": "0.1.0", "library_version": "0.36.0", "warehouse_schema": WAREHOUSE_SCHEMA,
-                "logical_key_schema": KEY_SCHEMA, "content_hash_schema": CONTENT_SCHEMA, "rows_fetched": 1, "rows_normalized": 1, "rows_accepted": 1, "rows_rejected": 0,
-                "new_contents": len(change[0]), "new_transitions": len(change[1]), "batch_hash": change[2], "commit_sequence": sequence,
-            }
-
-        for index in range(last + 1):
-            sequence = 10 * index + (1 if product == "lmp" else 2)
-            run_id = f"{sequence:032x}"
-            request, change = planned(run_id, "20" if index == 2 else "10", sequence - 1, 2025 if index == 4 else 2026)
-            known = datetime(2026, 9, 1) + timedelta(minutes=sequence)
-            made = [r.asDict() for r in change.contents.collect()], [r.asDict() for r in change.transitions.collect()], change.batch_hash
-            rows["ingestion_runs"].append(run_row(request, run_id, "SUCCEEDED", known, known - timedelta(seconds=1), sequence, made))
-            for r in made[0]:
-                rows[f"{product}_contents"].append(r | {"first_seen_at": known})
-                contents.add(r["content_id"])
-            for r in made[1]:
-                rows[f"{product}_state_transitions"].append(r | {"known_at": known})
-                latest[r["logical_key"]] = (r["content_hash"], r["ordinal"])
-        for offset, status in enumerate(("STARTED", "FAILED", "COMMITTED"), 100) if ineligible else ():
-            run_id = f"{offset + (10 if product == 'load' else 0):032x}"
-            request, change = planned(run_id, str(offset), offset)
-            made = [r.asDict() for r in change.contents.collect()], [r.asDict() for r in change.transitions.collect()], change.batch_hash
-            rows["ingestion_runs"].append(run_row(request, run_id, status, None, datetime(2026, 9, 1), offset + 1, made))
-            rows[f"{product}_contents"] += made[0]
-            rows[f"{product}_state_transitions"] += made[1]
-    return {name: spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows[name]], schema) for name, schema in RAW.items() if name != "warehouse_control"}
-
-
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the price fact shows after the last step."""
-    from tidemark.plans import models
-
-    fact = models.fact(build(spark, "late"), "lmp")
-    return fact.select(F.year("interval_start_utc").cast("bigint").alias("event_year"), F.col("lmp").cast("double").alias("lmp"), "state_ordinal", "commit_sequence", "content_id")
+def build(spark: SparkSession, step: str, ineligible: bool = True) -> dict[str, DataFrame]:
+    """The raw tables as they stand after a step."""
+    return {name: spark.createDataFrame(rows, RAW[name]) for name, rows in _rows(spark, step, ineligible).items()}

@@ -180,6 +180,8 @@ class Store:
             raise StoreError("the run id is not bound to this request; begin it first")
         if (prior := self.reconcile(run_id)) is not None:
             return prior
+        # A batch is bounded, and everything below must see the same rows whatever the source does.
+        records = records.persist()
         try:
             if (active := self.active_run()) is not None:
                 raise StoreError(f"run {active} waits to be resumed")
@@ -191,6 +193,8 @@ class Store:
         except Exception as error:
             self.fail(run_id, error)
             raise
+        finally:
+            records.unpersist()
         return self.reconcile(run_id)
 
     # Reading ----------------------------------------------------------------------------------
