@@ -84,7 +84,14 @@ def test_dense_groups(spark, cell_points):
 
 def test_keep_one(spark):
     rows = [(2, "a b c d e", 1), (1, "a b c d e", 1), (1, "a b c d e", 1), (3, "quite another text of words", 1), (None, "a b c d e", 1)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __hash int").withColumnRenamed("__hash", "__HASH")
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect())) == [(1, "a b c d e", 1), (3, "quite another text of words", 1)]
+
+
+def test_levels_follow_the_count():
+    assert [simhash.levels_for(n) for n in (0, 10_000_000)] == [3, 3]
+    assert 3 < simhash.levels_for(10**10) < simhash.levels_for(10**12) <= simhash.MOST_LEVELS
+    near = simhash._later_neighbours(2, 1)
+    assert near == [(1, -1), (1, 1)]

@@ -37,6 +37,17 @@ def below(hash_: Column, most: int, count: int) -> Column:
     return hash_ < F.lit(int(2 * most / count * 2.0**64) - (1 << 63))
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that the frame doesn't have, whatever their case."""
+    taken, out = {c.lower() for c in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bytes_of(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column; Arrow holds them already, so nothing is re-encoded."""
     if pa.types.is_large_string(column.type):

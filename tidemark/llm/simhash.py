@@ -27,16 +27,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, annotate, bytes_of
+from tidemark.llm.common import LOWER, annotate, bytes_of, fresh
 from tidemark.llm.components import components
 from tidemark.llm.vptree import spanning_links
 from tidemark.session import ensure_checkpoint_dir
 
 SHINGLE, SEED, MOST, BLOCKS = 4, 42, 4, 3
-#: Vantage points whose distances name a shard: three for each block of bits.
-LEVELS = 3
+#: Vantage points whose distances name a shard, for each block of bits: so many at least, and at most.
+LEVELS, MOST_LEVELS = 3, 8
 #: Fingerprints that one task holds at most, about 100 bytes each.
 CELL = 2_000_000
 _CHUNK = 1 << 15
@@ -93,6 +94,15 @@ def _later_neighbours(levels: int, reach: int) -> list[tuple[int, ...]]:
     return sorted(d for d in found if d > (0,) * levels)
 
 
+def levels_for(count: int, cell_points: int = CELL) -> int:
+    """Vantage points that make shards of so many fingerprints small. Each spreads them over about nine
+    times as many shards and about doubles the rows dealt; pairs found are the same for any number."""
+    levels = LEVELS
+    while levels < MOST_LEVELS and count * (1 + 2 ** (levels - 1)) / 9**levels > cell_points / 4:
+        levels += 1
+    return levels
+
+
 def shard_routes(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int = LEVELS) -> DataFrame:
     """(block, cell, fingerprint, home): a row for the shard in which a fingerprint is at home and for
     each later one that may hold a partner, in every block."""
@@ -111,9 +121,9 @@ def shard_routes(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, leve
     return points.select("fingerprint", F.explode(F.array(*routes)).alias("r")).select("r.block", "r.cell", "fingerprint", "r.home")
 
 
-def links(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int = LEVELS, cell_points: int = CELL) -> DataFrame:
+def links(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int | None = None, cell_points: int = CELL) -> DataFrame:
     """Links (a, b) between distinct fingerprints that connect all that lie within ``most`` bits."""
-    routes = shard_routes(points, most, blocks, levels)
+    routes = shard_routes(points, most, blocks, levels or levels_for(points.count(), cell_points))
     # A shard beyond cell_points is a row here, so there are at most rows / cell_points: broadcast is safe.
     large = routes.groupBy("block", "cell").count().where(F.col("count") > cell_points).select("block", "cell", F.ceil(F.col("count") * 2 / cell_points).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
@@ -137,7 +147,7 @@ def links(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int
     return dealt.groupBy("block", "cell", "task").applyInArrow(of_shard, "a bigint, b bigint")
 
 
-def group_roots(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int = LEVELS, cell_points: int = CELL) -> DataFrame:
+def group_roots(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int | None = None, cell_points: int = CELL) -> DataFrame:
     """(node, root) for each distinct fingerprint that has a link."""
     return components(links(points, most, blocks, levels, cell_points))
 
@@ -163,15 +173,15 @@ def keep_one(docs: DataFrame, most: int = MOST) -> DataFrame:
     """The rows of ``docs``, all columns, without near-duplicates: of each group the row with the
     smallest id stays (no id last), among several of that id the one with the smallest text hash, and
     of rows that share both just one."""
-    from pyspark.sql import Window as W
-
     ensure_checkpoint_dir(docs.sparkSession)
-    ident = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("doc_id").isNull().alias("__none"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__hash")]
-    own = fingerprints(docs.select("text", F.col("doc_id").cast("bigint").alias("doc_id"), *ident), ["text", "doc_id", "__id", "__none", "__hash"]).drop("text").checkpoint()
-    least = own.groupBy("fingerprint").agg(F.min(F.struct("__none", "doc_id", "__id", "__hash")).alias("least")).checkpoint()
+    none, key, hash_, row = fresh(docs, "__none", "__id", "__hash", "__row")
+    names = [none, key, hash_]
+    ident = [F.col("doc_id").isNull().alias(none), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias(key), F.coalesce(F.xxhash64("text"), F.lit(0)).alias(hash_)]
+    own = fingerprints(docs.select("text", *ident), ["text", *names]).drop("text").checkpoint()
+    least = own.groupBy("fingerprint").agg(F.min(F.struct(*names)).alias("least")).checkpoint()
     roots = group_roots(least.select("fingerprint"), most)
     labelled = least.join(roots, least.fingerprint == roots.node, "left").select("least", F.coalesce("root", "fingerprint").alias("root"))
-    stay = labelled.groupBy("root").agg(F.min("least").alias("s")).select("s.__id", "s.__none", "s.__hash")
-    once = W.partitionBy("__id", "__none", "__hash").orderBy("__hash")
-    kept = docs.select("*", *ident).join(stay, ["__id", "__none", "__hash"]).withColumn("__row", F.row_number().over(once)).where("__row = 1")
+    stay = labelled.groupBy("root").agg(F.min("least").alias("s")).select(*[F.col("s")[n].alias(n) for n in names])
+    once = W.partitionBy(*names).orderBy(hash_)
+    kept = docs.select("*", *ident).join(stay, names).withColumn(row, F.row_number().over(once)).where(F.col(row) == 1)
     return kept.select(*[kept[f"`{c}`"] for c in docs.columns])

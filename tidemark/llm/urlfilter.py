@@ -137,13 +137,12 @@ def with_suffixes(rows: DataFrame) -> DataFrame:
     """The features with the shares of blocked URLs among the labelled ones of the same host suffix and
     of the same ending; a suffix without labels has the share of all."""
     labelled = rows.where(F.col("ruled").isNotNull()).select("suffix", "ending", (F.col("ruled") == "block").cast("double").alias("y"))
-    # One row: the share of all labelled URLs, 0.5 without any.
-    share = labelled.agg(F.coalesce(F.avg("y"), F.lit(0.5)).alias("__share"))
-    out = rows.join(F.broadcast(share))
+    # The share of all labelled URLs, 0.5 without any, as a scalar subquery.
+    share, out = labelled.agg(F.coalesce(F.avg("y"), F.lit(0.5))).scalar(), rows
     for name in ("suffix", "ending"):
         own = labelled.groupBy(name).agg(F.sum("y").alias("__blocked"), F.count("y").alias("__n"))
-        out = out.join(own, name, "left").withColumn(f"f_{name}", (F.coalesce("__blocked", F.lit(0.0)) + PRIOR * F.col("__share")) / (F.coalesce("__n", F.lit(0)) + PRIOR)).drop("__blocked", "__n")
-    return out.drop("__share")
+        out = out.join(own, name, "left").withColumn(f"f_{name}", (F.coalesce("__blocked", F.lit(0.0)) + PRIOR * share) / (F.coalesce("__n", F.lit(0)) + PRIOR)).drop("__blocked", "__n")
+    return out
 
 
 @dataclass
