@@ -25,9 +25,9 @@ def merged(stored: DataFrame, candidates: DataFrame, key: str = "logical_key") -
 
 
 def candidates(states: DataFrame, stored: DataFrame) -> DataFrame:
-    """Current states among those above the stored facts' mark, which is read as one row."""
-    mark = stored.agg(F.coalesce(F.max("commit_sequence"), F.lit(0)).alias("__mark"))
-    return models.current(states.join(F.broadcast(mark)).where("commit_sequence > __mark").drop("__mark"))
+    """Current states among those above the stored facts' mark, a scalar subquery."""
+    mark = stored.agg(F.coalesce(F.max("commit_sequence"), F.lit(0))).scalar()
+    return models.current(states.where(F.col("commit_sequence") > mark))
 
 
 class Facts:

@@ -93,7 +93,7 @@ def inspect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _table(spark, sf_dir, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"))
     eligible = rows.join(runs, "l_orderkey")
     one, two = eligible.agg(F.count("*").alias("contents")), eligible.join(parts, "l_partkey").agg(F.count("*").alias("transitions"))
-    return one.join(F.broadcast(two))  # one row each
+    return spark.range(1).select(one.scalar().alias("contents"), two.scalar().alias("transitions"))
 
 
 @query("""WITH changed AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN NULL WHEN event_id % 101 = 0 THEN value + 1 ELSE value END AS value
@@ -183,11 +183,10 @@ def incremental_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_equals_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State built from the first nine tenths of the log, then brought up to date by the rest."""
     events = _table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value")
-    mark = events.agg(F.floor(F.max("event_id") * 0.9).alias("mark"))
-    split = events.join(F.broadcast(mark))  # one row
+    mark = events.agg(F.floor(F.max("event_id") * 0.9)).scalar()
     keys, order = ["user_id", "event_type"], [F.desc("event_id")]
-    stored = latest(split.where("event_id <= mark").drop("mark"), keys, order)
-    new = latest(split.where("event_id > mark").drop("mark"), keys, order)
+    stored = latest(events.where(F.col("event_id") <= mark), keys, order)
+    new = latest(events.where(F.col("event_id") > mark), keys, order)
     return stored.join(new, keys, "left_anti").unionByName(new)
 
 
