@@ -99,3 +99,11 @@ def test_removal():
     text = "Keep this. The quick brown fox, end".encode()
     assert decontam.without_spans(text, [(2, 4)]) == b"Keep this.  brown fox, end"
     assert decontam.without_spans(text, []) == text
+
+
+def test_passages_are_removed_from_texts(spark):
+    docs = spark.createDataFrame([(1, f"Keep, {PASSAGE}! and this."), (2, None), (3, "clean")], DOCS)
+    items = spark.createDataFrame([(1, PASSAGE)], ITEMS)
+    got = {r.doc_id: r.text for r in decontam.remove_passages(docs, items).collect()}
+    assert got == {1: "Keep, ! and this.", 2: None, 3: "clean"}
+    assert all(not r.n_hit for r in decontam.contamination(decontam.remove_passages(docs, items), items).collect())

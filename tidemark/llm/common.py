@@ -86,7 +86,7 @@ def keep_rows(docs: DataFrame, of: Callable[[], Callable[[pa.RecordBatch], list[
 
 
 #: Bytes of Arrow data that one step of a Python worker works on; a longer single row goes alone.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -239,33 +240,49 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _all_spans(texts: list[bytes | None], blocks: list[Broadcast]) -> tuple[list[int], list[list[tuple[int, int]]]]:
+    """Words of each text, and the union of its spans over all blocks of phrases."""
+    counts, spans = [0] * len(texts), [[] for _ in texts]
+    for block in blocks:
+        found = find(texts, block.value)
+        counts = found.words
+        for k, own in enumerate(found.spans):
+            spans[k] += own
+    return counts, [merged(*np.array(sorted(own), np.int64).T) if own else [] for own in spans]
+
+
+def _sent(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> list[Broadcast]:
+    return [docs.sparkSession.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, window, block_bytes)]
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that no benchmark contaminates."""
-    sent = [docs.sparkSession.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, window, block_bytes)]
+    blocks = _sent(docs, benchmark, window, block_bytes)
 
     def of() -> Callable[[pa.RecordBatch], list[bool]]:
         def keep(batch: pa.RecordBatch) -> list[bool]:
-            texts = bytes_of(batch.column(batch.schema.get_field_index("text")))
-            spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-            counts = [0] * len(texts)
-            for block in sent:
-                found = find(texts, block.value)
-                counts = found.words
-                for k, own in enumerate(found.spans):
-                    spans[k] += own
-            return [not is_contaminated(counts[k], covered(own)) for k, own in enumerate(spans)]
+            counts, spans = _all_spans(bytes_of(batch.column(batch.schema.get_field_index("text"))), blocks)
+            return [not is_contaminated(n, sum(b - a for a, b in own)) for n, own in zip(counts, spans, strict=True)]
 
         return keep
 
     return keep_rows(docs, of)
 
 
-def covered(spans: list[tuple[int, int]]) -> int:
-    """Words in the union of spans."""
-    if not spans:
-        return 0
-    start, end = np.array(sorted(spans), np.int64).T
-    return sum(b - a for a, b in merged(start, end))
+def remove_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, their texts without the merged spans of benchmark phrases."""
+    blocks, at = _sent(docs, benchmark, window, block_bytes), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                texts = bytes_of(part.column(at))
+                _, spans = _all_spans(texts, blocks)
+                columns = list(part.columns)
+                columns[at] = pa.array([None if t is None else (without_spans(t, own) if own else t).decode() for t, own in zip(texts, spans, strict=True)], part.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
