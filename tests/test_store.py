@@ -117,7 +117,7 @@ def test_batches_are_checked(spark, store):
 
 
 def test_bootstrap(spark, store, tmp_path):
-    assert store.bootstrap()["status"] == "schema checked"
+    assert store.bootstrap()["status"] == "checked"
     path = tmp_path / "raw" / "_schema.json"
     there = json.loads(path.read_text())
     path.write_text(json.dumps(there | {"warehouse_schema": "warehouse/v0"}))

@@ -56,7 +56,7 @@ class Store:
             raise StoreError("the folder belongs to another owner")
         if there != json.loads(mine):
             raise StoreError("the store has another schema; it is not migrated")
-        return {"store": self.files.root, "status": "schema checked"}
+        return {"store": self.files.root, "status": "checked"}
 
     def _checked(self) -> None:
         if self.files.read("_schema.json") is None:
@@ -134,7 +134,7 @@ class Store:
         if self.active_run() is not None:
             raise StoreError(f"run {self.active_run()} waits to be resumed")
         if self.sequence() != change.expected_sequence:
-            raise StoreError("stale snapshot: another batch committed; start a new attempt")
+            raise StoreError("stale snapshot: the sequence is taken by another run")
         n, counts, folders = change.expected_sequence + 1, {}, {}
         for table, key, frame in ((f"{product}_contents", "new_contents", change.contents), (f"{product}_state_transitions", "new_transitions", change.transitions)):
             folder = f"data/{table}/commit={n:012d}-{run_id}"
@@ -143,7 +143,7 @@ class Store:
             folders[table] = folder
         record = {"run_id": run_id, "batch_hash": change.batch_hash, "commit_job_id": f"commit-{run_id}", "folders": folders, **counts, **{k: change.accepted for k in ("rows_fetched", "rows_normalized", "rows_accepted")}}
         if not self.files.create(f"log/{n:012d}.commit.json", json.dumps(record)):
-            raise StoreError("stale snapshot: another batch committed; start a new attempt")
+            raise StoreError("stale snapshot: the sequence is taken by another run")
         return n
 
     def finalize(self, run_id: str) -> dict[str, object]:
@@ -161,11 +161,11 @@ class Store:
         committed; an error if it failed."""
         manifest = self.run(run_id)
         if manifest is None:
-            raise StoreError("unknown run id")
+            raise StoreError("no run of this id")
         if manifest["status"] == "SUCCEEDED":
             return manifest
         if manifest["status"] == "FAILED":
-            raise StoreError(f"run {run_id} failed; use a new run id for a new attempt")
+            raise StoreError(f"run {run_id} failed for good; only a new run id can succeed")
         if manifest["status"] == "STARTED":
             return None
         try:
