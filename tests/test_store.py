@@ -96,6 +96,16 @@ def test_stale_snapshot_leaves_nothing_visible(spark, store):
     assert store.read("lmp_contents").count() == 1
 
 
+def test_digest_of_the_log(spark, store, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.store.DIGEST_EVERY", 2)
+    before = [run(store, v) for v in ("10", "20", "30")]
+    assert [n for n in store.files.names("log") if n.startswith("upto")] == ["upto-000000000002.json"]
+    os.unlink(f"{store.files.local}/log/{1:012d}.final.json")
+    assert [store.run(m["run_id"]) for m in before] == before and store.read("lmp_contents").count() == 3
+    rows = {r.run_id: r.asDict() for r in store.runs().collect()}
+    assert all(rows[m["run_id"]] == m for m in before)
+
+
 def test_failures(spark, store):
     run_id = uuid.uuid4().hex
     with pytest.raises(StoreError, match="ValidationError"):
@@ -188,7 +198,7 @@ def test_backfill_resumes(spark, tmp_path):
 
     with pytest.raises((KeyboardInterrupt, StoreError)):
         backfill.run(*twice, spec, flaky, wait_seconds=0)
-    if any(m["status"] == "FAILED" for m in twice[0]._manifests()):
+    if twice[0].runs().where("status = 'FAILED'").count():
         spec = backfill.Backfill(uuid.uuid4().hex, "2026-08-01", "2026-08-02")
     resumed = backfill.run(*twice, spec, lambda r: days(spark, r), wait_seconds=0)
     assert resumed.verification == "passed" and "build: passed" in resumed.text()

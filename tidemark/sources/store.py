@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ from tidemark.sources.files import Files
 
 VERSION = "0.1.0"
 OWNER = "tidemark"
+#: Commits after which a digest of the log is written.
+DIGEST_EVERY = 50
 _TABLES = ("lmp_contents", "lmp_state_transitions", "load_contents", "load_state_transitions")
 
 
@@ -77,36 +79,40 @@ class Store:
             return self._record(f"log/{n:012d}.commit.json")["run_id"]
         return None
 
-    def _commit_of(self, run_id: str) -> tuple[int, dict] | None:
-        for name in self.files.names("log"):
-            if name.endswith(".commit.json") and (record := self._record(f"log/{name}"))["run_id"] == run_id:
-                return int(name.split(".")[0]), record
-        return None
+    def _entries(self) -> list[dict]:
+        """The log in order: number, commit record and, once there, final record of each commit. A digest of
+        finalised commits stands for the files it replaces, so few are opened however long the log is."""
+        names = self.files.names("log")
+        digest = max((n for n in names if n.startswith("upto-")), default=None)
+        entries = json.loads(self.files.read(f"log/{digest}")) if digest else []
+        known = entries[-1]["n"] if entries else 0
+        for name in names:
+            if name.endswith(".commit.json") and (n := int(name.split(".")[0])) > known:
+                entries.append({"n": n, "commit": self._record(f"log/{name}"), "final": self._record(f"log/{n:012d}.final.json")})
+        return entries
+
+    def _commit_of(self, run_id: str) -> dict | None:
+        return next((e for e in self._entries() if e["commit"]["run_id"] == run_id), None)
 
     # Manifests --------------------------------------------------------------------------------
 
-    def _manifest(self, started: dict, commit: tuple[int, dict] | None) -> dict[str, object]:
+    def run(self, run_id: str) -> dict[str, object] | None:
+        """The manifest of one run, from its own records."""
+        started = self._record(f"runs/{valid_run_id(run_id)}.started.json")
+        if started is None:
+            return None
         row: dict[str, object] = dict.fromkeys(RAW["ingestion_runs"].names)
         row |= {k: v for k, v in started.items() if k in row}
-        row |= {"started_at": datetime.fromisoformat(started["started_at"]), "requested_date": datetime.fromisoformat(started["requested_date"]).date(), "status": "STARTED", "commit_completed": False}
-        if commit is not None:
-            n, record = commit
-            row |= {k: v for k, v in record.items() if k in row}
-            row |= {"status": "COMMITTED", "commit_completed": True, "commit_sequence": n, "rows_rejected": 0}
-            if (final := self._record(f"log/{n:012d}.final.json")) is not None:
-                row |= {"status": "SUCCEEDED", "knowledge_at": datetime.fromisoformat(final["knowledge_at"]), "completed_at": datetime.fromisoformat(final["completed_at"])}
-        elif (failed := self._record(f"runs/{started['run_id']}.failed.json")) is not None:
+        row |= {"started_at": datetime.fromisoformat(started["started_at"]), "requested_date": date.fromisoformat(started["requested_date"]), "status": "STARTED", "commit_completed": False}
+        if (entry := self._commit_of(run_id)) is not None:
+            row |= {k: v for k, v in entry["commit"].items() if k in row}
+            row |= {"status": "COMMITTED", "commit_completed": True, "commit_sequence": entry["n"], "rows_rejected": 0}
+            if entry["final"] is not None:
+                row |= {"status": "SUCCEEDED"} | {k: datetime.fromisoformat(entry["final"][k]) for k in ("knowledge_at", "completed_at")}
+        elif (failed := self._record(f"runs/{run_id}.failed.json")) is not None:
             row |= failed | {"status": "FAILED", "completed_at": datetime.fromisoformat(failed["completed_at"]), "rows_accepted": 0}
         return row
 
-    def run(self, run_id: str) -> dict[str, object] | None:
-        started = self._record(f"runs/{valid_run_id(run_id)}.started.json")
-        return None if started is None else self._manifest(started, self._commit_of(run_id))
-
-    def _manifests(self) -> list[dict[str, object]]:
-        commits = {r["run_id"]: (int(n.split(".")[0]), r) for n in self.files.names("log") if n.endswith(".commit.json") and (r := self._record(f"log/{n}"))}
-        return [self._manifest(started, commits.get(started["run_id"])) for n in self.files.names("runs") if n.endswith(".started.json") and (started := self._record(f"runs/{n}"))]
-
     def begin(self, request: Request, run_id: str, library_version: str = "file") -> dict[str, object]:
         """Binds a run id to a request; the same binding again changes nothing."""
         self._checked()
@@ -124,7 +130,7 @@ class Store:
     def fail(self, run_id: str, error: Exception) -> None:
         """Marks a run as failed, unless its commit stands. Only the error's kind is kept."""
         if self._commit_of(valid_run_id(run_id)) is None:
-            record = {"completed_at": _now().isoformat(), "error_class": type(error).__name__, "error_message": "source, validation or store failed; see the caller's error"}
+            record = {"run_id": run_id, "completed_at": _now().isoformat(), "error_class": type(error).__name__, "error_message": "source, validation or store failed; see the caller's error"}
             self.files.create(f"runs/{run_id}.failed.json", json.dumps(record))
 
     # Commits ----------------------------------------------------------------------------------
@@ -151,9 +157,11 @@ class Store:
         found = self._commit_of(valid_run_id(run_id))
         if found is None:
             raise StoreError("the run has not committed")
-        n, _ = found
+        n = found["n"]
         known = self.files.modified(f"log/{n:012d}.commit.json").isoformat()
         self.files.create(f"log/{n:012d}.final.json", json.dumps({"run_id": run_id, "knowledge_at": known, "completed_at": _now().isoformat()}))
+        if n % DIGEST_EVERY == 0:
+            self.files.create(f"log/upto-{n:012d}.json", json.dumps([e for e in self._entries() if e["n"] <= n]))
         return self.run(run_id)
 
     def reconcile(self, run_id: str) -> dict[str, object] | None:
@@ -199,10 +207,35 @@ class Store:
 
     # Reading ----------------------------------------------------------------------------------
 
+    def _records(self, ending: str, columns: str) -> DataFrame:
+        """The JSON records of all runs, read by Spark; a folder may hold very many."""
+        reader = self.spark.read.schema(columns)
+        if not self.files.names("runs"):
+            return self.spark.createDataFrame([], columns)
+        return reader.option("pathGlobFilter", f"*{ending}").json(self.files.path("runs"))
+
     def runs(self) -> DataFrame:
-        """All manifests. There is one for each request, so they are small beside the rows."""
+        """All manifests: begun runs beside the commits and failures they came to."""
         schema = RAW["ingestion_runs"]
-        return self.spark.createDataFrame([tuple(m[n] for n in schema.names) for m in self._manifests()], schema)
+        begun = self._records(".started.json", "run_id string, request_id string, source string, product string, requested_date string, requested_location string, started_at string, package_version string, library_version string, warehouse_schema string, logical_key_schema string, content_hash_schema string, code_revision string")
+        failed = self._records(".failed.json", "run_id string, completed_at string, error_class string, error_message string").withColumnRenamed("completed_at", "failed_at")
+        numbers = ("rows_fetched", "rows_normalized", "rows_accepted", "new_contents", "new_transitions")
+        done = [(e["commit"]["run_id"], e["n"], e["commit"]["batch_hash"], e["commit"]["commit_job_id"], *(e["commit"][k] for k in numbers), *((e["final"] or {}).get(k) for k in ("knowledge_at", "completed_at"))) for e in self._entries()]
+        commits = self.spark.createDataFrame(done, "run_id string, commit_sequence bigint, batch_hash string, commit_job_id string, " + "".join(f"{k} bigint, " for k in numbers) + "knowledge_at string, finalised_at string")
+        joined = begun.join(commits, "run_id", "left").join(failed, "run_id", "left")
+        committed, lost = F.col("commit_sequence").isNotNull(), F.col("failed_at").isNotNull()
+        status = F.when(F.col("knowledge_at").isNotNull(), "SUCCEEDED").when(committed, "COMMITTED").when(lost, "FAILED").otherwise("STARTED")
+        made = {
+            "status": status,
+            "commit_completed": committed,
+            "completed_at": F.coalesce("finalised_at", F.when(~committed, F.col("failed_at"))),
+            "rows_accepted": F.coalesce("rows_accepted", F.when(lost, 0)),
+            "rows_rejected": F.when(committed, 0),
+            "error_class": F.when(~committed, F.col("error_class")),
+            "error_message": F.when(~committed, F.col("error_message")),
+        }
+        kept = [made.get(f.name, F.col(f.name) if f.name in joined.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+        return joined.select(*kept)
 
     def control(self) -> DataFrame:
         return self.spark.createDataFrame([(1, self.sequence(), WAREHOUSE_SCHEMA, self.active_run())], RAW["warehouse_control"])
@@ -218,7 +251,7 @@ class Store:
             return self.control()
         if table not in _TABLES:
             raise StoreError(f"unknown table {table}")
-        paths = [self.files.path(r["folders"][table]) for n in self.files.names("log") if n.endswith(".commit.json") and int(n.split(".")[0]) > above and table in (r := self._record(f"log/{n}"))["folders"]]
+        paths = [self.files.path(e["commit"]["folders"][table]) for e in self._entries() if e["n"] > above and table in e["commit"]["folders"]]
         schema = RAW[table]
         rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         clock, run = ("first_seen_at", "first_run_id") if table.endswith("contents") else ("known_at", "run_id")
