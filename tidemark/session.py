@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,15 @@ def local_session(name: str = "tidemark", cores: str = "*", partitions: int = 8)
     return spark
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, whatever folder they start in.
+    Where executors don't see that place, ship the package with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that checkpoint() writes to.
 
