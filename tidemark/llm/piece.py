@@ -20,7 +20,6 @@ import re
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -192,22 +191,21 @@ _SCAN = 160
 _NONE = 1 << 30
 
 
-def merge(model: PieceModel, stretch: str) -> tuple[int, ...]:
+def merge(model: PieceModel, stretch: str) -> list[int]:
     """The ids of a normalised stretch."""
-    number = model.number
-    if stretch in number and len(stretch) == 1:
-        return (number[stretch],)
     symbols = _merge_scan(model, stretch) if len(stretch) < _SCAN else _merge_heap(model, stretch)
-    ids: list[int] = []
-    for symbol in symbols:
-        k = number.get(symbol)
+    ids = list(map(model.number.get, symbols))
+    if None not in ids:
+        return ids
+    out: list[int] = []
+    for k, symbol in zip(ids, symbols, strict=True):
         if k is not None:
-            ids.append(k)
+            out.append(k)
         elif model.byte:
-            ids.extend(model.byte[b] for b in symbol.encode())
+            out.extend(model.byte[b] for b in symbol.encode())
         else:
-            ids.append(model.unknown)
-    return tuple(ids)
+            out.append(model.unknown)
+    return out
 
 
 def _merge_scan(model: PieceModel, stretch: str) -> list[str]:
@@ -257,16 +255,17 @@ class PieceCodec:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self._ids: dict[str, tuple[int, ...]] = {}
+        self._ids: dict[str, bytes] = {}
 
-    def stretches(self, normal: str) -> list[tuple[int, ...]]:
+    def stretches(self, normal: str) -> list[bytes]:
+        """The ids of each stretch, four bytes each."""
         if not self.model.by_stretch:
-            return [merge(self.model, normal)] if normal else []
+            return [_packed(merge(self.model, normal))] if normal else []
         known, out = self._ids, []
         for stretch in self._STRETCH.findall(normal):
             ids = known.get(stretch)
             if ids is None:
-                ids = merge(self.model, stretch)
+                ids = _packed(merge(self.model, stretch))
                 if len(stretch) < _SCAN:
                     if len(known) >= CACHE:
                         known.clear()
@@ -274,16 +273,17 @@ class PieceCodec:
             out.append(ids)
         return out
 
-    def encode(self, text: bytes | None) -> tuple[list[int], np.ndarray]:
+    def encode_array(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and the source byte at which each piece begins, with the text's length at the end."""
         normal, origin = normalise(self.model, text or b"")
-        ids = list(chain.from_iterable(self.stretches(normal.decode())))
-        return ids, self.places(ids, origin)
-
-    def places(self, ids: list[int], origin: np.ndarray) -> np.ndarray:
+        ids = np.frombuffer(b"".join(self.stretches(normal.decode())), "<i4")
         at = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(self.model.width[np.array(ids, np.int64)], out=at[1:])
-        return origin[at]
+        np.cumsum(self.model.width[ids], out=at[1:])
+        return ids, origin[at]
+
+    def encode(self, text: bytes | None) -> tuple[list[int], np.ndarray]:
+        ids, places = self.encode_array(text)
+        return ids.tolist(), places
 
     def decode(self, ids: list[int]) -> str:
         """The text of the pieces, without the mark that stands before the first."""
@@ -299,6 +299,10 @@ class PieceCodec:
             return _replaced(data)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 def _replaced(data: bytes) -> str:
     """UTF-8 with U+FFFD for every single byte that belongs to no whole character."""
     out, at = [], 0
@@ -349,8 +353,8 @@ def encode(docs: DataFrame, name: str = MODEL) -> DataFrame:
         def make(batch: pa.RecordBatch) -> list[pa.Array]:
             ids, places, ends = [], [], [0]
             for text in bytes_of(batch.column(1)):
-                own, at = codec.encode(text)
-                ids.append(np.array(own, np.int32))
+                own, at = codec.encode_array(text)
+                ids.append(own)
                 places.append(at)
                 ends.append(ends[-1] + len(own))
             offsets = np.array(ends, np.int32)
