@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pytest
@@ -60,3 +61,12 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     assert "Subquery:1" in plan(relational.incremental_candidates(spark, sf)).replace(" ", "")
     for name, f in relational.QUERIES.items():
         assert "CartesianProduct" not in plan(f(spark, sf)), name
+
+
+def test_workers_find_the_package(spark):
+    from tidemark.session import make_importable
+
+    make_importable(spark)
+    make_importable(spark)
+    paths = spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
+    assert paths.count(os.path.dirname(entry.__file__)) == 1

@@ -110,3 +110,9 @@ def test_generic_tests(spark):
     assert quality.not_null(frame, "v").count() == 1 and quality.unique(frame, "k").count() == 1
     assert quality.accepted_values(frame, "v", ["a"]).count() == 1 and quality.unique_grain(frame, ["k", "v"]).count() == 0
     assert quality.relationships(frame, "k", spark.createDataFrame([(1,)], "id int"), "id").count() == 1
+
+
+def test_models_as_views(spark, story):
+    models.register_views(models.build(story["late"]))
+    row = spark.sql("SELECT count(*) AS n, count(DISTINCT logical_key) AS k FROM fct_hourly_lmp JOIN stg_ingestion_runs ON state_run_id = run_id WHERE status = 'SUCCEEDED'").first()
+    assert (row.n, row.k) == (2, 2)

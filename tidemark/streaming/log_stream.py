@@ -27,9 +27,3 @@ def follow(spark: SparkSession, store: Store, facts: Facts, product: str, checkp
     writer = changes.writeStream.foreachBatch(bring_up_to_date).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
-
-def change_flags(events: DataFrame) -> DataFrame:
-    """A streaming aggregate over an event log: rows and latest id of each hour and type, complete mode."""
-    from pyspark.sql import functions as F
-
-    return events.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last_event")).select(F.col("w.start").alias("hour"), "event_type", "n", "last_event")
