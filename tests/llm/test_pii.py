@@ -66,6 +66,41 @@ def test_what_fails_its_check_stays():
     assert pii.replace(text, NAMES) == (text, [])
 
 
+def test_every_number_of_a_phones_format_counts():
+    numbers = [(f"{a}17", f"{b}55", f"{1000 * a + 100 * b + 7:04d}") for a in range(10) for b in range(10)]
+    shapes = ("+1 ({}) {}-{}", "+1-{}-{}-{}", "({}) {}-{}", "{}-{}-{}", "{}.{}.{}")
+    planted = [shape.format(*n) for n in numbers for shape in shapes]
+    text = " ; ".join(planted)
+    new, found = pii.replace(text, NAMES)
+    assert Counter(text[a:b] for kind, a, b in found if kind == "phone") == Counter(planted)
+    made = new.split(" ; ")
+    assert len(set(made)) == len(planted) and not set(made) & set(planted) and pii.replace(new, BACK)[0] == text
+    for old, new in zip(planted, made, strict=True):
+        a, b = (re.sub(r"\D", "", x)[-10:] for x in (old, new))
+        assert all((a[k] in "01") == (b[k] in "01") for k in (0, 3))
+
+
+def test_cards_may_begin_with_0():
+    for k in range(50):
+        body = f"0{k * 7919:014d}"
+        card = body + str(-pii.luhn(body + "0") % 10)
+        if len(set(card)) > 1:
+            new, found = pii.replace(f"see {card}, please", NAMES)
+            assert [f[0] for f in found] == ["card"] and new[4] == "0" and pii.luhn(new[4:20]) == 0
+            assert pii.replace(new, BACK)[0] == f"see {card}, please"
+
+
+def test_phones_of_the_table(spark):
+    shape = re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+    texts = [r.text or "" for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    planted = sum(len(shape.findall(t)) for t in texts)
+    caught = 0
+    for t in texts:
+        spans = {(a, b) for kind, a, b in pii.replace(t, NAMES)[1] if kind == "phone"}
+        caught += sum(m.span() in spans for m in shape.finditer(t))
+    assert caught == planted > 0
+
+
 def test_values_are_linked_across_formats_and_documents(spark):
     docs = spark.createDataFrame([(1, "a 4398874246221956", 18, 0), (2, "b 4398-8742-4622-1956 c 2024-02-29", 30, 0), (3, "29.02.2024", 10, 0)], DOCS)
     one, two, three = (r.text for r in sorted(pii.findings(docs).collect(), key=lambda r: r.doc_id))

@@ -7,6 +7,9 @@ again until it is inside, which keeps the whole a permutation. So a pseudonym is
 the same value gives the same pseudonym in every document, different values different ones, and who has
 the key can go back. Digits and letters are permuted within their kinds, separators stay.
 
+Any number of a phone's format counts, assigned or not: ten national digits after +1 or alone, nine to
+fifteen in all after another +. Whether an area code or exchange begins with 0 or 1 stays as it is.
+
 Kinds: card and account numbers, phone numbers, social security numbers, IPv4 addresses, mail addresses,
 calendar dates, and secrets (access key ids, values of passwords and tokens), which are personal too.
 
@@ -142,10 +145,14 @@ class Pseudonyms:
 
     def card(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
-        if not 13 <= len(digits) <= 19 or luhn(digits) or len(set(digits)) == 1 or digits[0] == "0":
+        if not 13 <= len(digits) <= 19 or luhn(digits) or len(set(digits)) == 1:
             return None
-        body = digits[0] + self._text(f"card{len(digits)}{digits[0]}", digits[1:-1])
-        return _into(text, body + str(-luhn(body + "0") % 10))
+
+        def whole(inner: str) -> str:
+            body = digits[0] + inner
+            return body + str(-luhn(body + "0") % 10)
+
+        return _into(text, whole(self._text(f"card{len(digits)}{digits[0]}", digits[1:-1], valid=lambda d: len(set(whole(d))) > 1)))
 
     def iban(self, text: str) -> str | None:
         plain = text.replace(" ", "")
@@ -175,11 +182,14 @@ class Pseudonyms:
         rest = digits[len(keep) :]
         north_american = keep == "1" or not text.startswith("+")
 
+        if north_american and len(rest) != 10:
+            return None
+
         def valid(d: str) -> bool:
-            return d[0] in "23456789" and d[3] in "23456789" if north_american else (d[0] == "0") == (rest[0] == "0")
+            if north_american:
+                return all((d[k] in "01") == (rest[k] in "01") for k in (0, 3))
+            return (d[0] == "0") == (rest[0] == "0")
 
-        if north_american and (len(rest) != 10 or not valid(rest)):
-            return None
         return _into(text, keep + self._text(f"phone{len(rest)}", rest, valid=valid))
 
     def ip(self, text: str) -> str | None:
