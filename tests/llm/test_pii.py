@@ -80,6 +80,41 @@ def test_every_number_of_a_phones_format_counts():
         assert all((a[k] in "01") == (b[k] in "01") for k in (0, 3))
 
 
+BESIDE = [
+    ("card", "4398874246221956", ["{} 12/25", "12 {}", "{} 123", "07 {} 123", "2024 {} 7 8 9", "100 200 300 400 {} 500 600"]),
+    ("card", "4398-8742-4622-1956", ["{} 123", "12 {} 12/25", "12-{}"]),
+    ("card", "4398 8742 4622 1956", ["{} 12/25", "12 {} 34", "100 200 300 {} 400 500"]),
+    ("card", "43988742 46221956", ["{} 12/25", "123 {}"]),
+    ("iban", "BE68 5390 0754 7034", ["{} EUR", "EUR {} EUR", "AB12 {} AND 1234"]),
+    ("iban", "ES91 2100 0418 4502 0005 1332", ["{} 100", "100 {} 1000 EUR"]),
+    ("iban", "ES9121000418450200051332", ["{} AND", "AND {} 100"]),
+    ("phone", "+1-269-555-3211", ["{} 42", "42 {} 42", "{} 4398 87", "{} 12 34 56"]),
+    ("phone", "+1 (269) 555-3211", ["{} 190.137.223.204", "{} 2024-02-29", "12 {} 2024"]),
+    ("phone", "+44 20 7946 0958", ["{} 2024-02-29", "{} 2024 17"]),
+]
+
+
+def test_neighbours_hide_no_value():
+    for kind, value, shapes in BESIDE:
+        alone = pii.replace(value, NAMES)[0]
+        for shape in shapes:
+            text = f"see {shape.format(value)}, please"
+            new, found = pii.replace(text, NAMES)
+            at = text.index(value)
+            assert (kind, at, at + len(value)) in found and new[at : at + len(value)] == alone != value, text
+            assert pii.replace(new, BACK)[0] == text
+    two = "4398874246221956 378282246310005 4398-8742-4622-1956"
+    assert [f[0] for f in pii.replace(two, NAMES)[1]] == ["card"] * 3
+    long = "1234 " * 20_000
+    assert len(pii.replace(long, NAMES)[0]) == len(long)
+
+
+def test_phones_beside_phones():
+    planted = [f"{200 + k}-555-{1000 + 7 * k}" for k in range(300)]
+    text = " ".join(planted)
+    assert [text[a:b] for kind, a, b in pii.replace(text, NAMES)[1] if kind == "phone"] == planted
+
+
 def test_cards_may_begin_with_0():
     for k in range(50):
         body = f"0{k * 7919:014d}"

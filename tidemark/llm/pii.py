@@ -10,6 +10,11 @@ the key can go back. Digits and letters are permuted within their kinds, separat
 Any number of a phone's format counts, assigned or not: ten national digits after +1 or alone, nine to
 fifteen in all after another +. Whether an area code or exchange begins with 0 or 1 stays as it is.
 
+Digits or capitals beside a value don't hide it: within a run of groups the other starts and lengths are
+tried until the check holds, a country's own length first for accounts. Card numbers in groups that no card
+has count alone, or between blanks if no group has less than four digits. What stands beside a value can make a longer run pass by chance
+(one in ten for cards); then that run is the value, and it may come back with other ends.
+
 Kinds: card and account numbers, phone numbers, social security numbers, IPv4 addresses, mail addresses,
 calendar dates, and secrets (access key ids, values of passwords and tokens), which are personal too.
 
@@ -246,18 +251,112 @@ class Pseudonyms:
         return self._text("secret", text, hexadecimal=True)
 
 
-# Kinds in order of precedence: name, what the text must hold at all, pattern; group 1 is the value.
+Make, Free = Callable[[str], "str | None"], Callable[[int, int], bool]
+Values = Iterator[tuple[int, int, str]]
+_WORD = re.compile(r"\w")
+
+
+def _plain(pattern: re.Pattern[str]) -> Callable[[str, Make, Free], Values]:
+    """Values that are group 1 of a pattern."""
+
+    def read(text: str, make: Make, free: Free) -> Values:
+        for m in pattern.finditer(text):
+            if free(*m.span(1)) and (new := make(m[1])) is not None:
+                yield *m.span(1), new
+
+    return read
+
+
+# Characters of a bank account number by country.
+_IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9]{4})")
+_IBANS = {n: re.compile(rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{(n - 4) % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])") for n in range(15, 35)}
+
+
+def _ibans(text: str, make: Make, free: Free) -> Values:
+    """At every start the length of its country; then, where nothing was found, the others, the longest first."""
+    for lengths in (lambda own: [own] if own else [], lambda own: sorted(_IBANS.keys() - {own}, reverse=True)):
+        for start in _IBAN_START.finditer(text):
+            for n in lengths(_IBAN_SIZES.get(start[0][:2])):
+                m = _IBANS[n].match(text, start.start())
+                if m and free(*m.span()) and (new := make(m[0])) is not None:
+                    yield *m.span(), new
+                    break
+
+
+_RUN, _GROUP = re.compile(r"(?<![\w+\-])[0-9](?:[ \-]?[0-9]){12,}"), re.compile(r"[0-9]+")
+#: Digit groups of printed cards, all with one separator; a single group is one of them too.
+_SHAPES = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
+
+
+def _cards(loose: bool) -> Callable[[str, Make, Free], Values]:
+    """Numbers of 13 to 19 digits within runs of digit groups. First those in the shape of a card, the
+    longest first, and whole runs; ``loose``: other stretches of groups of four digits or more between blanks."""
+
+    def read(text: str, make: Make, free: Free) -> Values:
+        for run in _RUN.finditer(text):
+            groups = [g.span() for g in _GROUP.finditer(text, *run.span())]
+            found = []
+            for i, (a, _) in enumerate(groups):
+                digits = 0
+                for j in range(i, len(groups)):
+                    b = groups[j][1]
+                    digits += b - groups[j][0]
+                    if digits > 19:
+                        break
+                    if digits < 13 or _WORD.match(text, b):
+                        continue
+                    shape = tuple(y - x for x, y in groups[i : j + 1])
+                    shaped = i == j or shape in _SHAPES and len({text[y] for _, y in groups[i:j]}) == 1
+                    if loose:
+                        apart = (i == 0 or text[a - 1] == " ") and (j + 1 == len(groups) or text[b] == " ")
+                        if apart and not shaped and min(shape) >= 4:
+                            found.append((0, -digits, a, b))
+                    elif shaped or j - i + 1 == len(groups):
+                        found.append((0 if shaped else 1, -digits, a, b))
+            for _, _, a, b in sorted(found):
+                if free(a, b) and (new := make(text[a:b])) is not None:
+                    yield a, b, new
+
+    return read
+
+
+_ABROAD = re.compile(r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)|\d{1,4})(?:[ \-.]?\d{2,4}){1,5}(?![\w])")
+_ABROAD_START = re.compile(r"(?<![\w+])\+(?=\d)")
+
+
+def _phones(text: str, make: Make, free: Free) -> Values:
+    """Numbers after +: the longest that passes and overlaps nothing found before."""
+    for start in _ABROAD_START.finditer(text):
+        m = _ABROAD.match(text, a := start.start())
+        ends = sorted((g.end() for g in _GROUP.finditer(text, a, m.end())), reverse=True) if m else []
+        for b in ends:
+            if _ABROAD.fullmatch(text, a, b) and free(a, b) and (new := make(text[a:b])) is not None:
+                yield a, b, new
+                break
+
+
+# Kinds in order of precedence: name, what the text must hold at all, and what reads its values.
 _KINDS = (
-    ("secret", "=:", re.compile(r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)\b)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9_\-+/.]{8,256})")),
-    ("key_id", "A", re.compile(r"(?<![A-Za-z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])")),
-    ("mail", "@", re.compile(r"(?<![A-Za-z0-9._%+\-])([A-Za-z0-9._%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9\-])")),
-    ("iban", "", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")),
-    ("ip", ".", re.compile(r"(?<![\w.])((?:\d{1,3}\.){3}\d{1,3})(?![\w]|\.\d)")),
-    ("date", "-/.", re.compile(r"(?<![\w.\-/])(\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w\-/]|\.\d)")),
-    ("ssn", "-", re.compile(r"(?<![\w\-])(\d{3}-\d{2}-\d{4})(?![\w\-])")),
-    ("card", "", re.compile(r"(?<![\w+\-])(\d(?:[ \-]?\d){12,18})(?![\w]|-\d)")),
-    ("phone", "+", re.compile(r"(?<![\w+])(\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)|\d{1,4})(?:[ \-.]?\d{2,4}){1,5})(?![\w])")),
-    ("phone", "", re.compile(r"(?<![\w+\-.(])((?:1[ \-.])?(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4})(?![\w]|[\-.]\d)")),
+    ("secret", "=:", _plain(re.compile(r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)\b)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9_\-+/.]{8,256})"))),
+    ("key_id", "A", _plain(re.compile(r"(?<![A-Za-z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])"))),
+    ("mail", "@", _plain(re.compile(r"(?<![A-Za-z0-9._%+\-])([A-Za-z0-9._%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9\-])"))),
+    ("iban", "", _ibans),
+    ("ip", ".", _plain(re.compile(r"(?<![\w.])((?:\d{1,3}\.){3}\d{1,3})(?![\w]|\.\d)"))),
+    ("date", "-/.", _plain(re.compile(r"(?<![\w.\-/])(\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w\-/]|\.\d)"))),
+    ("ssn", "-", _plain(re.compile(r"(?<![\w\-])(\d{3}-\d{2}-\d{4})(?![\w\-])"))),
+    ("card", "", _cards(loose=False)),
+    ("phone", "+", _phones),
+    ("phone", "", _plain(re.compile(r"(?<![\w+\-.(])((?:1[ \-.])?(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4})(?![\w]|[\-.]\d)"))),
+    ("card", "", _cards(loose=True)),
 )
 _ANY = re.compile(r"[0-9@=:]")
 
@@ -266,19 +365,18 @@ def replace(text: str, names: Pseudonyms) -> tuple[str, list[tuple[str, int, int
     """The text with pseudonyms, and kind, start and end of each finding in the given text."""
     if not _ANY.search(text):
         return text, []
-    found: list[tuple[int, int, int, str, str]] = []
-    for rank, (kind, needs, pattern) in enumerate(_KINDS):
-        if needs and not any(c in text for c in needs):
-            continue
-        make = getattr(names, kind)
-        for m in pattern.finditer(text):
-            if (new := make(m[1])) is not None:
-                found.append((m.start(1), rank, m.end(1), kind, new))
     starts: list[int] = []
     kept: list[tuple[int, int, str, str]] = []
-    for start, _, end, kind, new in sorted(found, key=lambda x: (x[1], x[0])):
+
+    def free(start: int, end: int) -> bool:
         k = bisect(starts, start)
-        if (k == 0 or kept[k - 1][1] <= start) and (k == len(kept) or kept[k][0] >= end):
+        return (k == 0 or kept[k - 1][1] <= start) and (k == len(kept) or kept[k][0] >= end)
+
+    for kind, needs, read in _KINDS:
+        if needs and not any(c in text for c in needs):
+            continue
+        for start, end, new in read(text, getattr(names, kind), free):
+            k = bisect(starts, start)
             starts.insert(k, start)
             kept.insert(k, (start, end, kind, new))
     out, at = [], 0
