@@ -94,6 +94,43 @@ BESIDE = [
 ]
 
 
+def test_secrets_are_replaced_whole():
+    for size in (8, 64, 255, 256, 257, 504, 1000, 5000, 50_000):
+        value = "".join(pii._sets("aA0")[k * k % 7 % 3][(k * 31 + k // 7) % 10] for k in range(size - 1)) + "Z"
+        for text in (f"token={value}", f'"token" : "{value}", next', f"{value} token = {value}"):
+            new, found = pii.replace(text, NAMES)
+            at = text.rindex(value)
+            assert found == [("secret", at, at + size)] and new[:at] == text[:at] and new[at + size :] == text[at + size :]
+            assert pii.replace(new, BACK)[0] == text
+            made = new[at : at + size]
+            if size > 60:
+                # No part of it stays: of any 64 characters some fifth at most are what they were by chance.
+                assert all(sum(a == b for a, b in zip(value[k : k + 64], made[k : k + 64])) < 26 for k in range(0, size - 63, 32))
+    one, two = (pii.replace(f"token={'x' * 600}{c}", NAMES)[0] for c in "ab")
+    assert one != two
+    assert pii.replace("token=" + "f0" * 600, BACK)[0] != pii.replace("token=" + "f0" * 601, BACK)[0]
+
+
+def test_names_of_secrets():
+    for name in ("AWS_SECRET_KEY", "db_password", "access_token", "client_secret", "accessToken", "x-api-key", "token", "API_KEY_2", "tokens", "my_passwd"):
+        for sign in ("=", ": ", " " * 12 + "= ", "=" + " " * 30, '": "'):
+            text = f"a {name}{sign}Hunter2Hunter2 b"
+            new, found = pii.replace(text, NAMES)
+            at = text.index("Hunter")
+            assert found == [("secret", at, at + 14)] and new != text and pii.replace(new, BACK)[0] == text, text
+    new, found = pii.replace("secret: password: Hunter2Hunter2", NAMES)
+    assert found == [("secret", 18, 32)]
+    text = "x=my_token=Hunter2Hunter2 secretary: Margaret-Jones tokenizer=sentencepiece mode: something"
+    new, found = pii.replace(text, NAMES)
+    assert [text[a:b] for _, a, b in found] == ["Hunter2Hunter2"]
+
+
+def test_secrets_of_long_texts():
+    for part in ("token", "token ", "token=", "password:abcdefgh ", "a-", "= ", "token" + " " * 50):
+        text = part * (200_000 // len(part))
+        assert pii.replace(pii.replace(text, NAMES)[0], BACK)[0] == text
+
+
 def test_neighbours_hide_no_value():
     for kind, value, shapes in BESIDE:
         alone = pii.replace(value, NAMES)[0]

@@ -16,7 +16,9 @@ has count alone, or between blanks if no group has less than four digits. What s
 (one in ten for cards); then that run is the value, and it may come back with other ends.
 
 Kinds: card and account numbers, phone numbers, social security numbers, IPv4 addresses, mail addresses,
-calendar dates, and secrets (access key ids, values of passwords and tokens), which are personal too.
+calendar dates, and secrets (access key ids, values of passwords and tokens), which are personal too. A
+secret is what is set to a name that holds such a word (client_secret=, AWS_SECRET_KEY:), of any length
+from 8 on; it ends before the first character other than ASCII letters, digits and ``_-+/.``.
 
 Texts are processed whole and row by row; nothing is shuffled. Defined results: a null text stays null
 with no finding; an empty one stays empty. The text around a finding is unchanged byte for byte.
@@ -40,6 +42,8 @@ from tidemark.llm.common import annotate, bytes_of, slices
 
 KEY = b"change this key outside tests"
 ROUNDS = 8
+#: Characters of a secret that are permuted as one number.
+BLOCK = 256
 
 
 class Permutation:
@@ -53,7 +57,11 @@ class Permutation:
 
     def _mix(self, turn: int, half: int, most: int) -> int:
         data = self.tweak + b"|%d|%d|%d" % (self.size, turn, half)
-        return int.from_bytes(hashlib.blake2b(data, key=self.key, digest_size=24).digest()) % most
+        if (bits := most.bit_length() + 64) <= 192:
+            return int.from_bytes(hashlib.blake2b(data, key=self.key, digest_size=24).digest()) % most
+        # As many bits as the half has, or its first characters would stay.
+        wide = b"".join(hashlib.blake2b(b"%d|" % k + data, key=self.key).digest() for k in range(-(-bits // 512)))
+        return int.from_bytes(wide) % most
 
     def _once(self, x: int) -> int:
         left, right = divmod(x, self.b)
@@ -248,7 +256,13 @@ class Pseudonyms:
         return text[:4] + self._text("key", text[4:])
 
     def secret(self, text: str) -> str | None:
-        return self._text("secret", text, hexadecimal=True)
+        """Whole, in blocks; each block's permutation follows from the pseudonyms of those before it."""
+        hexadecimal, out, before = set(text) <= set(_HEX), [], b""
+        for at in range(0, len(text), BLOCK):
+            given = text[at : at + BLOCK]
+            out.append(self._text("secret" + before.hex(), given, hexadecimal))
+            before = hashlib.blake2b(before + (given if self.reverse else out[-1]).encode(), digest_size=16).digest()
+        return "".join(out)
 
 
 Make, Free = Callable[[str], "str | None"], Callable[[int, int], bool]
@@ -267,6 +281,24 @@ def _plain(pattern: re.Pattern[str]) -> Callable[[str, Make, Free], Values]:
     return read
 
 
+_SETTING = re.compile(r"(?<![A-Za-z0-9_\-])([A-Za-z0-9_\-]++)[\"']?+\s*+[=:]\s*+[\"']?+([A-Za-z0-9_\-+/.]{8,}+)")
+#: Secretaries and tokenizers are no secrets.
+_NAME = re.compile(r"(?i:password|passwd|secret(?!ar[iy]|ion|ive|ly|e[ds]?(?![a-z]))|token(?!i[sz])|api[_-]?key)")
+
+
+def _secrets(text: str, make: Make, free: Free) -> Values:
+    """Values set to a name that holds one of the words, as in db_password or AWS_SECRET_KEY."""
+    at = 0
+    while m := _SETTING.search(text, at):
+        # What follows may itself be a name that is set, as in a=b_token=c.
+        named = _NAME.search(m[1]) is not None
+        if named and _NAME.search(m[2]) and _SETTING.match(text, m.start(2)):
+            named = False
+        at = m.end() if named else m.end(1)
+        if named and free(*m.span(2)) and (new := make(m[2])) is not None:
+            yield *m.span(2), new
+
+
 # Characters of a bank account number by country.
 _IBAN_SIZES = {
     country: size
@@ -346,7 +378,7 @@ def _phones(text: str, make: Make, free: Free) -> Values:
 
 # Kinds in order of precedence: name, what the text must hold at all, and what reads its values.
 _KINDS = (
-    ("secret", "=:", _plain(re.compile(r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)\b)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9_\-+/.]{8,256})"))),
+    ("secret", "=:", _secrets),
     ("key_id", "A", _plain(re.compile(r"(?<![A-Za-z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])"))),
     ("mail", "@", _plain(re.compile(r"(?<![A-Za-z0-9._%+\-])([A-Za-z0-9._%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9\-])"))),
     ("iban", "", _ibans),
