@@ -95,3 +95,22 @@ def test_levels_follow_the_count():
     assert 3 < simhash.levels_for(10**10) < simhash.levels_for(10**12) <= simhash.MOST_LEVELS
     near = simhash._later_neighbours(2, 1)
     assert near == [(1, -1), (1, 1)]
+
+
+@pytest.mark.parametrize("levels", [5, 8])
+def test_more_levels(spark, levels):
+    rng = np.random.default_rng(levels)
+    prints = {int(x) for x in rng.integers(0, 1 << 64, 40, np.uint64)}
+    prints |= {x ^ 1 << int(a) ^ 1 << int(b) for x in list(prints)[:20] for a, b in [rng.integers(0, 64, 2)] if a != b}
+    points = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in sorted(prints)], "fingerprint bigint")
+    vantage, masks = simhash._vantage_points(levels), simhash._masks(simhash.BLOCKS)
+    homes = {(r.block, r.fingerprint & (1 << 64) - 1): r.cell for r in simhash.shard_routes(points, levels=levels).where("home").collect()}
+    for (block, x), cell in homes.items():
+        assert cell == sum(((x ^ v) & masks[block]).bit_count() + 32 << 7 * (levels - 1 - k) for k, v in enumerate(vantage))
+    assert len(homes) == 3 * len(prints)
+    order = sorted(prints)
+    found = [(order.index(r.a & (1 << 64) - 1), order.index(r.b & (1 << 64) - 1)) for r in simhash.links(points, levels=levels).collect()]
+    a, b = np.nonzero(np.bitwise_count(np.array(order, np.uint64)[:, None] ^ np.array(order, np.uint64)[None, :]) <= 4)
+    want = vptree.connected(len(order), a, b)
+    got = vptree.connected(len(order), np.array([x for x, _ in found]), np.array([y for _, y in found]))
+    assert len(found) >= 15 and {tuple(np.flatnonzero(got == g)) for g in got} == {tuple(np.flatnonzero(want == w)) for w in want}

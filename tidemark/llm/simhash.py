@@ -106,19 +106,18 @@ def levels_for(count: int, cell_points: int = CELL) -> int:
 def shard_routes(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int = LEVELS) -> DataFrame:
     """(block, cell, fingerprint, home): a row for the shard in which a fingerprint is at home and for
     each later one that may hold a partner, in every block."""
-    vantage, routes = _vantage_points(levels), []
+    homes = []
     for block, mask in enumerate(_masks(blocks)):
-        away = [F.bit_count(F.col("fingerprint").bitwiseXOR(F.lit(_signed(v))).bitwiseAND(F.lit(_signed(mask)))) for v in vantage]
-
-        def cell(shift: tuple[int, ...], away: list[Column] = away) -> Column:
-            out: Column = F.lit(0)
-            for a, by in zip(away, shift, strict=True):
-                out = out * 128 + a + by + 32
-            return out
-
-        home = (0,) * levels
-        routes += [F.struct(F.lit(block).alias("block"), cell(s).cast("bigint").alias("cell"), F.lit(s == home).alias("home")) for s in (home, *_later_neighbours(levels, most // blocks))]
-    return points.select("fingerprint", F.explode(F.array(*routes)).alias("r")).select("r.block", "r.cell", "fingerprint", "r.home")
+        # Five levels and more need more than 32 bits, eight take 56.
+        cell: Column = F.lit(0).cast("bigint")
+        for v in _vantage_points(levels):
+            cell = cell * 128 + F.bit_count(F.col("fingerprint").bitwiseXOR(F.lit(_signed(v))).bitwiseAND(F.lit(_signed(mask)))) + 32
+        homes.append(F.struct(F.lit(block).alias("block"), cell.alias("cell")))
+    # A neighbour's number differs from the home's by the same amount everywhere.
+    away = [sum(by << 7 * (levels - 1 - k) for k, by in enumerate(s)) for s in _later_neighbours(levels, most // blocks)]
+    at = points.select("fingerprint", F.explode(F.array(*homes)).alias("h"))
+    by = F.explode(F.array(*[F.lit(d).cast("bigint") for d in (0, *away)])).alias("by")
+    return at.select("fingerprint", "h", by).select("h.block", (F.col("h.cell") + F.col("by")).alias("cell"), "fingerprint", (F.col("by") == 0).alias("home"))
 
 
 def links(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int | None = None, cell_points: int = CELL) -> DataFrame:
