@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -70,3 +72,20 @@ def test_swaps():
     assert toxicity.swapped("No mention.") == []
     (before, after), = toxicity.swapped("Men work. Fine day.")
     assert before - after == {"men"} and after - before == {"women"}
+
+
+def test_all_swaps_of_a_text_count():
+    text = "A muslim spoke. " * 30 + "A gay woman and an old man spoke to a blind man. " + "No mention. " * 50 + "The deaf indian listened."
+    pairs = toxicity.swapped(text)
+    assert len(pairs) == 30 * 5 + (4 + 1 + 1 + 1 + 2) + (2 + 5)
+    want = Counter((toxicity._packed(x - y), toxicity._packed(y - x)) for x, y in ((toxicity.features_of(a), toxicity.features_of(b)) for a, b in pairs))
+    got = toxicity.changes(text)
+    assert got == want and sum(got.values()) == len(pairs) and len(got) < 40
+
+
+def test_pairs_that_occur_often():
+    rows = [(np.array(sorted(toxicity.features_of({w})), np.int64), y) for w, y in (("idiot", 1), ("man", 1), ("woman", 0), ("friend", 0)) for _ in range(20)]
+    pair = [tuple(np.array(sorted(toxicity.features_of({w})), np.int64) for w in p) for p in (("man", "woman"), ("idiot", "friend"))]
+    one = toxicity.train(rows, [pair[0]] * 3 + [pair[1]], 0.5)
+    two = toxicity.train(rows, pair, 0.5, [3, 1])
+    assert one.weights.keys() == two.weights.keys() and all(abs(x - two.weights[b]) < 1e-6 for b, x in one.weights.items())

@@ -7,7 +7,7 @@ others of its kind, and the squared change of the score is added to the loss. Wo
 group so lose what weight chance or biased labels gave them.
 
 The model is fitted on a bounded sample (``PER_CLASS`` labelled documents of each class, whole texts,
-and ``SWAPS`` sentences of each that mention a group); weights restore the classes' shares among all
+and every swap in them: all mentions, each for all others of its kind); weights restore the classes' shares among all
 labels. Every row is scored over its whole text.
 
 Defined results: a null or empty text gets the score of a text without features. Documents with
@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import annotate, below, bytes_of, fold, held_out, keep_rows
 
-#: The training sample: documents of each class, and swapped sentences of each document.
-PER_CLASS, SWAPS = 4000, 8
+#: The training sample: documents of each class.
+PER_CLASS = 4000
 BUCKETS, STEMS = 1 << 20, (3, 4, 5, 6)
 #: A feature is in the model if so many sampled documents have it, if its share of toxic documents is so
 #: many standard errors from that of all, and if it is among the most telling. Without the second, rare
@@ -55,6 +56,7 @@ IDENTITY = (
     ("blind", "deaf", "disabled"),
 )
 
+_OTHER = {t: kind for kind in IDENTITY for t in kind}
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -69,19 +71,31 @@ def features_of(words: set[str]) -> set[int]:
     return {b for w in words for b in features(w)}
 
 
-def swapped(text: str, most: int = SWAPS) -> list[tuple[set[str], set[str]]]:
-    """Words of sentences that mention a group, and the words with another term of that kind."""
-    other = {t: kind for kind in IDENTITY for t in kind}
-    out: list[tuple[set[str], set[str]]] = []
+def swapped(text: str) -> list[tuple[set[str], set[str]]]:
+    """Words of sentences that mention a group, and the words with another term of that kind: all of a text."""
+    return [(words, words - {term} | {instead}) for words, term, instead in _swaps(text)]
+
+
+def changes(text: str) -> Counter[tuple[bytes, bytes]]:
+    """How often a swap of the text loses and gains which buckets. Most mentions of a term change the same,
+    so there are few of them, however long the text is."""
+    out: Counter[tuple[bytes, bytes]] = Counter()
+    last, held = None, Counter[int]()
+    for words, term, instead in _swaps(text):
+        if words is not last:
+            last, held = words, Counter(b for w in words for b in set(features(w)))
+        new = set(features(instead))
+        out[_packed({b for b in features(term) if held[b] == 1} - new), _packed(new - held.keys())] += 1
+    return out
+
+
+def _swaps(text: str) -> Iterator[tuple[set[str], str, str]]:
     for sentence in _SENTENCE.finditer(text.lower()):
         words = set(_WORD.findall(sentence[0]))
-        for term in sorted(words & other.keys()):
-            for instead in other[term]:
+        for term in sorted(words & _OTHER.keys()):
+            for instead in _OTHER[term]:
                 if instead != term:
-                    out.append((words, words - {term} | {instead}))
-                    if len(out) >= most:
-                        return out
-    return out
+                    yield words, term, instead
 
 
 @dataclass
@@ -114,9 +128,9 @@ class Scorer:
         return float(1 / (1 + np.exp(-min(60.0, max(-60.0, total)))))
 
 
-def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.ndarray]], share: float) -> Model:
+def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.ndarray]], share: float, times: list[int] | None = None) -> Model:
     """rows: buckets and label of each document; pairs: buckets lost and gained by a swap; share: of
-    label 1 among all labels."""
+    label 1 among all labels; times: how often each pair occurs, once if not given."""
     labels = np.array([y for _, y in rows], np.float64)
     if not len(rows):
         return Model(_logit(0.0))
@@ -139,6 +153,7 @@ def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.n
     gained = [(k, number[b], 1.0) for k, (gone, new) in enumerate(pairs) for b in new if number[b] >= 0]
     swaps = np.array(lost + gained, np.float64).reshape(-1, 3)
     pair, place, sign = swaps[:, 0].astype(int), swaps[:, 1].astype(int), swaps[:, 2]
+    often = np.ones(len(pairs)) if times is None else np.array(times, np.float64)
     weight = np.where(labels == 1, MISSED * share / rate, (1 - share) / (1 - rate))
     weight /= weight.sum()
     w, bias = np.zeros(len(chosen)), _logit(share)
@@ -148,8 +163,8 @@ def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.n
         error = weight * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels)
         slope = np.bincount(column, weights=error[owner], minlength=len(w)) + RIDGE * w
         if len(pairs):
-            change = np.bincount(pair, weights=sign * w[place], minlength=len(pairs))
-            slope += 2 * FAIRNESS / len(pairs) * np.bincount(place, weights=sign * change[pair], minlength=len(w))
+            change = often * np.bincount(pair, weights=sign * w[place], minlength=len(pairs))
+            slope += 2 * FAIRNESS / often.sum() * np.bincount(place, weights=sign * change[pair], minlength=len(w))
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope * slope
         mb, vb = 0.9 * mb + 0.1 * error.sum(), 0.999 * vb + 0.001 * error.sum() ** 2
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
@@ -173,26 +188,30 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
     def of() -> Callable[[pa.RecordBatch], list[pa.Array]]:
         def make(batch: pa.RecordBatch) -> list[pa.Array]:
-            own, lost, gained = [], [], []
+            own, lost, gained, times = [], [], [], []
             for text in bytes_of(batch.column(1)):
                 plain = (text or b"").decode()
                 own.append(_packed(features_of(set(_WORD.findall(plain.lower())))))
-                pairs = [(features_of(a), features_of(b)) for a, b in swapped(plain)]
-                lost.append([_packed(a - b) for a, b in pairs])
-                gained.append([_packed(b - a) for a, b in pairs])
+                pairs = changes(plain)
+                lost.append([a for a, _ in pairs])
+                gained.append([b for _, b in pairs])
+                times.append(list(pairs.values()))
             many = pa.list_(pa.binary())
-            return [pa.array(own, pa.binary()), pa.array(lost, many), pa.array(gained, many)]
+            return [pa.array(own, pa.binary()), pa.array(lost, many), pa.array(gained, many), pa.array(times, pa.list_(pa.int64()))]
 
         return make
 
     # The sample has at most two per_class rows, so it is broadcast and only its documents go to Python.
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    made = annotate(picked, ["doc_id", "text", "toxic"], "own binary, lost array<binary>, gained array<binary>", of).drop("text")
-    rows, pairs = [], []
+    made = annotate(picked, ["doc_id", "text", "toxic"], "own binary, lost array<binary>, gained array<binary>, times array<bigint>", of).drop("text")
+    rows, found = [], Counter[tuple[bytes, bytes]]()
     for r in sorted(made.collect(), key=lambda r: (r.doc_id, r.own)):
         rows.append((np.frombuffer(r.own, np.int32), int(r.toxic)))
-        pairs += [(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for a, b in zip(r.lost, r.gained, strict=True)]
-    return train(rows, pairs, share)
+        for lost, gained, times in zip(r.lost, r.gained, r.times, strict=True):
+            found[lost, gained] += times
+    order = sorted(found)
+    pairs = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for a, b in order]
+    return train(rows, pairs, share, [found[p] for p in order])
 
 
 def _packed(buckets: set[int]) -> bytes:
