@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from tidemark.llm import sharding
+from tidemark.llm import queries, sharding
 from tidemark.llm.common import table
 
 NAMES = [f"shard-{k:03d}" for k in range(64)]
@@ -90,3 +90,22 @@ def test_hot_key_is_split(spark):
     per_slot = Counter(r.slot for r in placed if r.source == "hot")
     assert len(per_slot) > 5 and max(per_slot.values()) < 400
     assert all(len({r.slot for r in placed if r.source == s}) == 1 for s in ("k1", "k2"))
+
+
+def test_query_places_whole_rows_and_splits_hot_keys(spark, sf, tmp_path):
+    docs = table(spark, sf, "documents")
+    hot = spark.range(3000).selectExpr("if(id < 1500, NULL, -5L) doc_id", "concat('text ', id) text")
+    docs.unionByName(hot, allowMissingColumns=True).write.parquet(f"{tmp_path}/documents.parquet")
+    given = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    placed = queries.op3_sharding(spark, str(tmp_path))
+    assert placed.columns == [*given.columns, "slot", "shard"]
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD|Cartesian|SortMerge", plan)
+    rows = placed.collect()
+    assert Counter(map(tuple, (r[:-2] for r in rows))) == Counter(map(tuple, given.collect()))
+    slots = sharding.fill(NAMES)
+    assert all(slots[r.slot] == r.shard for r in rows)
+    for key in (None, -5):
+        parts = Counter(r.slot for r in rows if r.doc_id == key)
+        assert len(parts) == 2 and max(parts.values()) < 900
+    assert all(r.slot == brute_slot(r.doc_id) for r in rows if r.doc_id not in (None, -5))

@@ -20,8 +20,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    return sharding.place(docs, "doc_id", [f"shard-{k:03d}" for k in range(sharding.SHARDS)])
+    docs = table(spark, sf_dir, "documents")
+    return sharding.place(docs, "doc_id", [f"shard-{k:03d}" for k in range(sharding.SHARDS)], split_rows=sharding.SPLIT_ROWS, split_by="text")
 
 
 #: A conversation that says the template's own control strings.

@@ -24,6 +24,8 @@ from tidemark.llm.common import fresh
 #: A prime, so that every skip visits every slot.
 SLOTS = 65_537
 SHARDS = 64
+#: Rows from which the query splits a key.
+SPLIT_ROWS = 1000
 
 
 def preference(shard: str, slots: int) -> tuple[int, int]:
