@@ -168,3 +168,41 @@ def test_scripts_that_no_vocabulary_knows_are_not_judged():
     for text in UNKNOWN.values():
         assert fertility.script(text) == "Other" and fits(text)
     assert not fits("და " * 100)
+
+
+def test_long_texts_are_encoded_whole():
+    """Beside encoding at once, above the length at which a text is taken in parts."""
+    draw = random.Random(4)
+    blanks = " \n\t\r 　\x1c"
+    texts = [
+        "information" * 30_000,
+        "".join(draw.choice("abcdefghij") for _ in range(400_000)),
+        "word " * 120_000,
+        "".join(draw.choice("ab, .\n'st  12中é😀 ") for _ in range(600_000)),
+        "a" + " " * 5_000 + "b" + "\n" * 4_096 + " 7" + "\t" * 4_095 + "x" + " " * 9_000,
+        " " * 6_000,
+        "x" + "".join(draw.choice(blanks) for _ in range(50_000)) + "end",
+        ("some words " * 2_000 + " " * 4_500) * 15,
+    ]
+    for name in fertility.VOCABULARIES:
+        v = fertility.vocabulary(name)
+        for text in texts:
+            assert v.encode(text).tolist() == v.encoding.encode_ordinary(text)
+        # A run of blanks on which the pattern itself gives up.
+        ids = v.encode(long := "a" + " " * 2_000_000 + "b")
+        assert v.encoding.decode(ids.tolist()) == long
+
+
+def test_kept_is_the_bands_verdict(spark):
+    """Verdicts recomputed from tokens that the library gives, for each script's bands."""
+    rows = [(r.doc_id, r.text, 0) for r in table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()]
+    rows += [(-1 - k, (word + " ") * 3 + " ".join(random.Random(k).sample([*"abcdefghijklmnopqrstuvwxyz"] * 4, 100)) + "information" * 30_000 * (k == 1), 0) for k, word in enumerate(("plain", "long", "слово"))]
+    got = {r.doc_id: r for r in fertility.judge(spark.createDataFrame(rows, DOCS)).collect()}
+    for doc, text, _ in rows:
+        failed = brute_base(text)[-1]
+        inside = True
+        for name in fertility.VOCABULARIES:
+            chars, lone, entropy = brute_measures(name, text) if text else (0, 0, 0)
+            band = fertility.BANDS[name].get(got[doc].script, fertility.BANDS[name]["Other"])
+            inside &= band.least_chars <= chars <= band.most_chars and lone <= band.most_bytes and entropy >= band.least_entropy
+        assert got[doc].kept == (inside and not failed), doc

@@ -21,9 +21,9 @@ import base64
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,12 @@ from tidemark.llm.piece import model_path
 
 VOCABULARIES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
 SYMBOLS = b"#*$%&|<>"
-#: Characters of a text that are encoded at once; cut at white space wherever there is any.
+#: A longer text is encoded in parts of about so many characters. It is cut only where the vocabulary's own
+#: pattern parts words, so the tokens are those of the whole text.
 STRETCH = 1 << 18
+# What the pattern takes for white space. Runs of it from 4096 on go around the pattern, which fails on very long ones.
+_BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_LONG_RUN, _EDGE = re.compile(f"[{_BLANK}]{{4096,}}"), re.compile(f"(?<=[^{_BLANK}])[{_BLANK}]")
 
 
 @dataclass(frozen=True)
@@ -109,6 +113,7 @@ class Vocabulary:
         with open(model_path(name), "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._one_word = cache(lambda: tiktoken.Encoding(f"{name}, one word", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={}))
         self.lone = np.zeros(max(ranks.values()) + 1, bool)
         for token, rank in ranks.items():
             try:
@@ -117,16 +122,26 @@ class Vocabulary:
                 self.lone[rank] = True
 
     def encode(self, text: str) -> np.ndarray:
-        if len(text) <= STRETCH:
-            return np.asarray(self.encoding.encode_to_numpy(text, disallowed_special=()))
+        """The ids of the whole text, as if it were encoded at once."""
         parts, at = [], 0
+        for run in _LONG_RUN.finditer(text):
+            first, last = run.span()
+            # The last blank goes with what follows, the others are one word of the pattern.
+            last -= last < len(text)
+            parts += self._plain(text[at:first])
+            parts.append(np.asarray(self._one_word().encode_to_numpy(text[first:last], disallowed_special=())))
+            at = last
+        parts += self._plain(text[at:] if at else text)
+        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint32)
+
+    def _plain(self, text: str) -> Iterator[np.ndarray]:
+        """Ids in parts that end before a blank behind another character, where a word of the pattern ends too."""
+        at = 0
         while at < len(text):
-            end = min(len(text), at + STRETCH)
-            if end < len(text) and (space := max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end))) > at:
-                end = space
-            parts.append(np.asarray(self.encoding.encode_to_numpy(text[at:end], disallowed_special=())))
+            edge = _EDGE.search(text, at + STRETCH) if len(text) - at > STRETCH else None
+            end = edge.start() if edge else len(text)
+            yield np.asarray(self.encoding.encode_to_numpy(text[at:end] if end - at < len(text) else text, disallowed_special=()))
             at = end
-        return np.concatenate(parts)
 
     def measures(self, text: str) -> tuple[float, float, float]:
         """Characters per token, share of lone bytes, entropy in bits; zeros for an empty text."""
