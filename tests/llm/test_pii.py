@@ -186,7 +186,7 @@ def test_table(spark, sf):
     got = pii.findings(docs).collect()
     assert Counter(r.doc_id for r in got) == Counter(want.keys())
     for r in got:
-        text, names = pii.replace(want[r.doc_id] or "", pii.Pseudonyms())
+        text, names = pii.replace(want[r.doc_id] or "", pii.Pseudonyms(pii.LOCAL_KEY))
         assert (r.text or "") == text and r.n_found == len(names)
     assert sum(r.n_found for r in got) > 10
     back = {r.doc_id: r.text for r in pii.pseudonymise(pii.pseudonymise(docs), reverse=True).collect()}
@@ -201,3 +201,78 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert all(r.n_chars == len(r.text) for r in kept.where("doc_id = 5").collect())
     assert pii.findings(docs.limit(0)).collect() == []
+
+
+def brute_spans(text):
+    """Values of the table's kinds, each by a plain pattern and a check of its own."""
+
+    def checked(digits):
+        doubled = [int(d) * (1 + (k % 2)) for k, d in enumerate(reversed(digits))]
+        return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+    out = set()
+    for m in re.finditer(r"token = \"([0-9a-f]{40})\"", text):
+        out.add(("secret", *m.span(1)))
+    for m in re.finditer(r"(?<!\w)[0-9]{16}(?!\w)", text):
+        if checked(m[0]):
+            out.add(("card", *m.span()))
+    for m in re.finditer(r"(?<![\w.])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+(?![\w]|\.[0-9])", text):
+        if all(p == str(int(p)) and int(p) < 256 for p in m[0].split(".")):
+            out.add(("ip", *m.span()))
+    for m in re.finditer(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?!\w)", text):
+        out.add(("phone", *m.span()))
+    for m in re.finditer(r"[a-zA-Z0-9.]+@[a-z0-9]+\.example\.com", text):
+        out.add(("mail", *m.span()))
+    return out
+
+
+def test_table_by_brute_force(spark):
+    """What is found, that the rest stays, and that values and pseudonyms match one to one over all documents."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    want = {r.doc_id: r.text or "" for r in docs.collect()}
+    changed, pseudonym, kinds = 0, {}, Counter()
+    for r in pii.findings(docs).collect():
+        text, new, found = want[r.doc_id], r.text or "", {(f.kind, f.first, f.last) for f in r.found}
+        assert found == brute_spans(text), r.doc_id
+        changed += new != text
+        at = 0
+        for kind, first, last in sorted(found, key=lambda f: f[1]):
+            # Every kind here but an address keeps its length, so what stands between values can be followed.
+            kept = text[at:first]
+            assert new.startswith(kept)
+            new, value = new[len(kept) :], text[first:last]
+            size = re.match(r"[0-9.]+[0-9]", new).end() if kind == "ip" else len(value)
+            assert pseudonym.setdefault((kind, value), new[:size]) == new[:size]
+            new, at = new[size:], last
+            kinds[kind] += 1
+        assert new == text[at:]
+    assert len(set(pseudonym.values())) == len(pseudonym) and not any(v == p for (_, v), p in pseudonym.items())
+    assert changed == sum(bool(brute_spans(t)) for t in want.values()) and min(kinds[k] for k in ("secret", "card", "ip", "phone", "mail")) > 5
+
+
+def test_digits_of_other_scripts_make_no_value():
+    """Arabic-Indic and full-width digits in each kind's place: nothing is found, so nothing can be corrupted."""
+    for digits in ("٠١٢٣٤٥٦٧٨٩", "０１２３４５６７８９", "०१२३४५६७८९"):
+        turned = str.maketrans("0123456789", digits)
+        for kind, values in GIVEN.items():
+            for value in values:
+                if kind in ("secret", "mail", "key_id"):
+                    continue
+                whole = f"see {value.translate(turned)}, please"
+                assert pii.replace(whole, NAMES) == (whole, []), whole
+                at = next(k for k in reversed(range(len(value))) if value[k].isdigit())
+                last = f"see {value[:at] + value[at].translate(turned) + value[at + 1 :]}, please"
+                new, found = pii.replace(last, NAMES)
+                assert pii.replace(new, BACK)[0] == last and all(text.isascii() for text in (last[a:b] for _, a, b in found))
+    assert pii.replace("see ١٢٣-45-6789", NAMES)[1] == []
+
+
+def test_key_comes_from_the_session(spark):
+    docs = spark.createDataFrame([(1, "45.196.222.2", 12, 0)], DOCS)
+    plain = pii.findings(docs).first().text
+    spark.conf.set(pii.KEY_SETTING, "another")
+    try:
+        assert pii.findings(docs).first().text == pii.findings(docs, b"another").first().text != plain
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert pii.findings(docs, pii.LOCAL_KEY).first().text == plain

@@ -20,6 +20,10 @@ calendar dates, and secrets (access key ids, values of passwords and tokens), wh
 secret is what is set to a name that holds such a word (client_secret=, AWS_SECRET_KEY:), of any length
 from 8 on; it ends before the first character other than ASCII letters, digits and ``_-+/.``.
 
+Only ASCII digits and letters make values; those of other scripts are text like any other, also beside one.
+The key comes from the session (``spark.tidemark.pii.key``). A cluster without one is refused, as whoever knows
+the key can undo the pseudonyms.
+
 Texts are processed whole and row by row; nothing is shuffled. Defined results: a null text stays null
 with no finding; an empty one stays empty. The text around a finding is unchanged byte for byte.
 """
@@ -35,12 +39,13 @@ from datetime import date
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import annotate, bytes_of, slices
 
-KEY = b"change this key outside tests"
+#: Where a session names its key, and the key of local sessions that name none: tests and trials only.
+KEY_SETTING, LOCAL_KEY = "spark.tidemark.pii.key", b"local trials only"
 ROUNDS = 8
 #: Characters of a secret that are permuted as one number.
 BLOCK = 256
@@ -144,7 +149,7 @@ _FIRST, _LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 class Pseudonyms:
     """Pseudonyms of each kind of value; ``back`` undoes them."""
 
-    key: bytes = KEY
+    key: bytes
     reverse: bool = False
 
     def _permute(self, tweak: str, value: int, size: int, valid: Callable[[int], bool] = lambda _: True) -> int:
@@ -157,7 +162,7 @@ class Pseudonyms:
         return _spelled(self._permute(tweak, value, size, lambda x: valid(_spelled(x, sets))), sets)
 
     def card(self, text: str) -> str | None:
-        digits = re.sub(r"\D", "", text)
+        digits = re.sub(r"[^0-9]", "", text)
         if not 13 <= len(digits) <= 19 or luhn(digits) or len(set(digits)) == 1:
             return None
 
@@ -180,15 +185,15 @@ class Pseudonyms:
         def valid(d: str) -> bool:
             return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
-        digits = re.sub(r"\D", "", text)
+        digits = re.sub(r"[^0-9]", "", text)
         return _into(text, self._text("ssn", digits, valid=valid)) if valid(digits) else None
 
     def phone(self, text: str) -> str | None:
-        digits = re.sub(r"\D", "", text)
+        digits = re.sub(r"[^0-9]", "", text)
         if not 9 <= len(digits) <= 15:
             return None
         if text.startswith("+"):
-            code = re.match(r"\+(\d{1,3})\D", text)
+            code = re.match(r"\+([0-9]{1,3})[^0-9]", text)
             keep = code[1] if code else digits[:2]
         else:
             keep = "1" if len(digits) == 11 and digits[0] == "1" else ""
@@ -223,7 +228,7 @@ class Pseudonyms:
         return f"{self._text('mail', local)}@{domain}"
 
     def date(self, text: str) -> str | None:
-        sign = re.search(r"\D", text)[0]
+        sign = re.search(r"[^0-9]", text)[0]
         a, b, c = text.split(sign)
         first = len(a) == 4
         orders = ((0, 1, 2),) if first else ((2, 0, 1), (2, 1, 0)) if sign == "/" else ((2, 1, 0), (2, 0, 1))
@@ -309,8 +314,8 @@ _IBAN_SIZES = {
     }.items()
     for country in countries.split()
 }
-_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9]{4})")
-_IBANS = {n: re.compile(rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{(n - 4) % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])") for n in range(15, 35)}
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9]{4})")
+_IBANS = {n: re.compile(rf"[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{(n - 4) % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])") for n in range(15, 35)}
 
 
 def _ibans(text: str, make: Make, free: Free) -> Values:
@@ -361,8 +366,8 @@ def _cards(loose: bool) -> Callable[[str, Make, Free], Values]:
     return read
 
 
-_ABROAD = re.compile(r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)|\d{1,4})(?:[ \-.]?\d{2,4}){1,5}(?![\w])")
-_ABROAD_START = re.compile(r"(?<![\w+])\+(?=\d)")
+_ABROAD = re.compile(r"\+[0-9]{1,3}[ \-.]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ \-.]?[0-9]{2,4}){1,5}(?![\w])")
+_ABROAD_START = re.compile(r"(?<![\w+])\+(?=[0-9])")
 
 
 def _phones(text: str, make: Make, free: Free) -> Values:
@@ -382,12 +387,12 @@ _KINDS = (
     ("key_id", "A", _plain(re.compile(r"(?<![A-Za-z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])"))),
     ("mail", "@", _plain(re.compile(r"(?<![A-Za-z0-9._%+\-])([A-Za-z0-9._%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9\-])"))),
     ("iban", "", _ibans),
-    ("ip", ".", _plain(re.compile(r"(?<![\w.])((?:\d{1,3}\.){3}\d{1,3})(?![\w]|\.\d)"))),
-    ("date", "-/.", _plain(re.compile(r"(?<![\w.\-/])(\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w\-/]|\.\d)"))),
-    ("ssn", "-", _plain(re.compile(r"(?<![\w\-])(\d{3}-\d{2}-\d{4})(?![\w\-])"))),
+    ("ip", ".", _plain(re.compile(r"(?<![\w.])((?:[0-9]{1,3}\.){3}[0-9]{1,3})(?![\w]|\.[0-9])"))),
+    ("date", "-/.", _plain(re.compile(r"(?<![\w.\-/])([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}-[0-9]{2}-[0-9]{4})(?![\w\-/]|\.[0-9])"))),
+    ("ssn", "-", _plain(re.compile(r"(?<![\w\-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w\-])"))),
     ("card", "", _cards(loose=False)),
     ("phone", "+", _phones),
-    ("phone", "", _plain(re.compile(r"(?<![\w+\-.(])((?:1[ \-.])?(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4})(?![\w]|[\-.]\d)"))),
+    ("phone", "", _plain(re.compile(r"(?<![\w+\-.(])((?:1[ \-.])?(?:\([0-9]{3}\) ?|[0-9]{3}[\-.])[0-9]{3}[\-.][0-9]{4})(?![\w]|[\-.][0-9])"))),
     ("card", "", _cards(loose=True)),
 )
 _ANY = re.compile(r"[0-9@=:]")
@@ -418,10 +423,19 @@ def replace(text: str, names: Pseudonyms) -> tuple[str, list[tuple[str, int, int
     return "".join([*out, text[at:]]), [(kind, start, end) for start, end, kind, _ in kept]
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, reverse: bool = False, length: str = "n_chars") -> DataFrame:
+def key_of(spark: SparkSession) -> bytes:
+    """The session's key; a local master may do without."""
+    if named := spark.conf.get(KEY_SETTING, ""):
+        return named.encode()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {KEY_SETTING} to a secret of your own")
+    return LOCAL_KEY
+
+
+def pseudonymise(docs: DataFrame, key: bytes | None = None, reverse: bool = False, length: str = "n_chars") -> DataFrame:
     """``docs`` with all its columns, their text replaced. Where a replaced text has another length, the
     column ``length``, if there is one, follows it."""
-    names = Pseudonyms(key, reverse)
+    names = Pseudonyms(key or key_of(docs.sparkSession), reverse)
     at = docs.columns.index("text")
     size_at = docs.columns.index(length) if length in docs.columns else None
 
@@ -443,10 +457,10 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY, reverse: bool = False, lengt
 _FOUND = pa.list_(pa.struct([("kind", pa.string()), ("first", pa.int32()), ("last", pa.int32())]))
 
 
-def findings(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def findings(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """doc_id, the replaced text, n_found, and the findings as (kind, first, last) in characters of the
     given text."""
-    names = Pseudonyms(key)
+    names = Pseudonyms(key or key_of(docs.sparkSession))
 
     def of() -> Callable[[pa.RecordBatch], list[pa.Array]]:
         def make(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -459,5 +473,5 @@ def findings(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
         return make
 
-    made = annotate(docs.select("doc_id", F.col("text").alias("__given")), ["doc_id", "__given"], "text string, found array<struct<kind:string,first:int,last:int>>", of)
+    made = annotate(docs.select("doc_id", F.col("text").alias("__given")), ["doc_id", "__given"], "text string, found array<struct<kind:string,first:int,last:int>>", of, read=("__given",))
     return made.select("doc_id", "text", F.size("found").cast("bigint").alias("n_found"), "found")
