@@ -4,15 +4,20 @@ Features are the words of a text and their beginnings, hashed; each counts once,
 long text weighs as much as in a short one. The model is logistic. Besides the labels' loss it has a
 counterfactual penalty: in labelled sentences that mention a group, the identity term is swapped for
 others of its kind, and the squared change of the score is added to the loss. Words that merely name a
-group so lose what weight chance or biased labels gave them.
+group so lose what weight chance, biased labels, or insults with the same beginning gave them.
+
+Few labelled documents may mention a group at all. So each sampled one also lends a sentence as a carrier:
+chosen by hash from the whole text, with a term of a kind chosen by hash in the place of one of its words, and
+swapped like a mention.
 
 The model is fitted on a bounded sample (``PER_CLASS`` labelled documents of each class, whole texts,
-and every swap in them: all mentions, each for all others of its kind); weights restore the classes' shares among all
-labels. Every row is scored over its whole text.
+every swap in them, all mentions and the carrier, each for all others of its kind); weights restore the classes'
+shares among all labels. Every row is scored over its whole text.
 
 Defined results: a null or empty text gets the score of a text without features. Documents with
-contradicting labels, null labels or null ids are not learned from. Without labels of both classes every
-score is the share of the class there is, or 0. Repeated rows each get the same row.
+contradicting labels, null labels or null ids are not learned from; of several texts with one id the one with
+the smallest hash is. Without labels of both classes every score is the share of the class there is, or 0.
+Repeated rows each get the same row.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +39,11 @@ from tidemark.llm.common import annotate, below, bytes_of, fold, held_out, keep_
 #: The training sample: documents of each class.
 PER_CLASS = 4000
 BUCKETS, STEMS = 1 << 20, (3, 4, 5, 6)
-#: A feature is in the model if so many sampled documents have it, if its share of toxic documents is so
-#: many standard errors from that of all, and if it is among the most telling. Without the second, rare
-#: words that chance put into toxic documents would explain the sample away.
-LEAST_DOCS, TELLING, FEATURES = 3, 4.0, 20_000
-ROUNDS, RATE, RIDGE, FAIRNESS = 250, 0.05, 1e-3, 0.1
+#: A feature is in the model if so many sampled documents have it, and if its share of toxic documents is so
+#: many standard errors from that of all. Without the second, rare words that chance put into toxic documents
+#: would explain the sample away.
+LEAST_DOCS, TELLING = 3, 4.0
+ROUNDS, RATE, RIDGE, FAIRNESS = 250, 0.05, 1e-3, 1.0
 #: How much more a missed toxic document costs than a clean one that is rejected.
 MISSED = 3.0
 CACHE = 300_000
@@ -76,12 +82,12 @@ def swapped(text: str) -> list[tuple[set[str], set[str]]]:
     return [(words, words - {term} | {instead}) for words, term, instead in _swaps(text)]
 
 
-def changes(text: str) -> Counter[tuple[bytes, bytes]]:
-    """How often a swap of the text loses and gains which buckets. Most mentions of a term change the same,
-    so there are few of them, however long the text is."""
+def changes(text: str, carrier: bool = False) -> Counter[tuple[bytes, bytes]]:
+    """How often a swap of the text, or also one in its carrier, loses and gains which buckets. Most mentions of a
+    term change the same, so there are few of them, however long the text is."""
     out: Counter[tuple[bytes, bytes]] = Counter()
     last, held = None, Counter[int]()
-    for words, term, instead in _swaps(text):
+    for words, term, instead in chain(_swaps(text), _carried(text) if carrier else ()):
         if words is not last:
             last, held = words, Counter(b for w in words for b in set(features(w)))
         new = set(features(instead))
@@ -98,6 +104,24 @@ def _swaps(text: str) -> Iterator[tuple[set[str], str, str]]:
                     yield words, term, instead
 
 
+def _carried(text: str) -> Iterator[tuple[set[str], str, str]]:
+    """The swaps of a carrier: a sentence of the text in which one word gives way to a term."""
+    lower = text.lower()
+    sentences = [m.span() for m in _SENTENCE.finditer(lower) if _WORD.search(m[0])]
+    if not sentences:
+        return
+    draw = zlib.crc32(text.encode())
+    first, last = sentences[draw % len(sentences)]
+    words = sorted(set(_WORD.findall(lower, first, last)))
+    kind = IDENTITY[draw // 7 % len(IDENTITY)]
+    rest = set(words) - {words[draw // 101 % len(words)], *kind}
+    for term in kind:
+        mention = rest | {term}
+        for instead in kind:
+            if instead != term:
+                yield mention, term, instead
+
+
 @dataclass
 class Model:
     bias: float
@@ -144,7 +168,6 @@ def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.n
     telling = np.abs(hits - docs * rate) / np.sqrt(np.maximum(docs, 1) * rate * (1 - rate))
     telling[(docs < LEAST_DOCS) | (telling < TELLING)] = 0
     chosen = np.flatnonzero(telling > 0)
-    chosen = np.sort(chosen[np.lexsort((chosen, -telling[chosen]))[:FEATURES]])
     number = np.full(BUCKETS, -1)
     number[chosen] = np.arange(len(chosen))
     inside = number[bucket] >= 0
@@ -192,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
             for text in bytes_of(batch.column(1)):
                 plain = (text or b"").decode()
                 own.append(_packed(features_of(set(_WORD.findall(plain.lower())))))
-                pairs = changes(plain)
+                pairs = changes(plain, carrier=True)
                 lost.append([a for a, _ in pairs])
                 gained.append([b for _, b in pairs])
                 times.append(list(pairs.values()))
@@ -201,17 +224,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
         return make
 
-    # The sample has at most two per_class rows, so it is broadcast and only its documents go to Python.
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    made = annotate(picked, ["doc_id", "text", "toxic"], "own binary, lost array<binary>, gained array<binary>, times array<bigint>", of).drop("text")
-    rows, found = [], Counter[tuple[bytes, bytes]]()
+    # The sample has at most two per_class rows, so it is broadcast and only its documents are shuffled, one text of
+    # each id: aggregated before that, however often an id is repeated.
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    picked = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("r")).select("doc_id", "r.text", "r.toxic")
+    made = annotate(picked, ["doc_id", "text", "toxic"], "own binary, lost array<binary>, gained array<binary>, times array<bigint>", of)
+    rows, swaps = [], Counter[tuple[bytes, bytes]]()
     for r in sorted(made.collect(), key=lambda r: (r.doc_id, r.own)):
         rows.append((np.frombuffer(r.own, np.int32), int(r.toxic)))
         for lost, gained, times in zip(r.lost, r.gained, r.times, strict=True):
-            found[lost, gained] += times
-    order = sorted(found)
+            swaps[lost, gained] += times
+    order = sorted(swaps)
     pairs = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)) for a, b in order]
-    return train(rows, pairs, share, [found[p] for p in order])
+    return train(rows, pairs, share, [swaps[p] for p in order])
 
 
 def _packed(buckets: set[int]) -> bytes:
