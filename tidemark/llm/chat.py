@@ -166,7 +166,7 @@ def format_conversations(rows: DataFrame, template: Template = default_template,
 
         return make
 
-    return annotate(conversations(rows), ["conv_id", "turns"], "formatted string, loss array<struct<first:int,last:int>>, rewrites boolean", of).drop("turns")
+    return annotate(conversations(rows), ["conv_id", "turns"], "formatted string, loss array<struct<first:int,last:int>>, rewrites boolean", of, read=("turns",))
 
 
 def digest(formatted: DataFrame) -> DataFrame:
@@ -185,4 +185,4 @@ def digest(formatted: DataFrame) -> DataFrame:
 
         return make
 
-    return annotate(formatted, ["conv_id", "formatted", "loss"], "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint", of).drop("formatted", "loss")
+    return annotate(formatted, ["conv_id", "formatted", "loss"], "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint", of, read=("formatted", "loss"))

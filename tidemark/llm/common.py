@@ -32,9 +32,14 @@ def below(hash_: Column, most: int, count: int) -> Column:
     """True for about twice ``most`` of ``count`` rows, those with the smallest hashes; for all if there
     are not so many. A sample of the ``most`` smallest then takes no more than these from the tasks,
     however many tasks there are."""
+    return hash_ <= F.lit(largest(most, count))
+
+
+def largest(most: int, count: int) -> int:
+    """The bound of ``below``: of ``count`` signed hashes about twice ``most`` are not above it."""
     if count <= 2 * most:
-        return F.lit(True)
-    return hash_ < F.lit(int(2 * most / count * 2.0**64) - (1 << 63))
+        return (1 << 63) - 1
+    return int(2 * most / count * 2.0**64) - (1 << 63)
 
 
 def fresh(frame: DataFrame, *names: str) -> list[str]:
@@ -55,20 +60,29 @@ def bytes_of(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.string()).cast(pa.binary()).to_pylist()
 
 
-def annotate(docs: DataFrame, columns: list[str], added: str, of: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.Array]]]) -> DataFrame:
-    """``columns`` of ``docs`` and, behind them, the columns ``added`` (DDL), made batch by batch.
+#: Bytes of Arrow data that one step of a Python worker works on; a longer single row goes alone.
+SLICE_BYTES = 8 << 20
+
+
+def annotate(
+    docs: DataFrame, columns: list[str], added: str, of: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.Array]]], most: int = SLICE_BYTES, read: tuple[str, ...] = ("text",)
+) -> DataFrame:
+    """``columns`` of ``docs`` without those in ``read`` and, behind them, the columns ``added`` (DDL), made from
+    ``most`` bytes at a time.
 
-    ``of`` is called once in each task and returns the function of a batch: what it loads stays in
-    the worker and never travels with the plan. Nothing is shuffled.
+    ``of`` is called once in each task and returns the function of a batch, which has all of ``columns``: what
+    it loads stays in the worker and never travels with the plan, and what was only read doesn't travel back.
+    Nothing is shuffled.
     """
     picked = docs.select(*columns)
-    types = StructType([*picked.schema.fields, *StructType.fromDDL(added).fields])
+    carried = [k for k, c in enumerate(columns) if c not in read]
+    types = StructType([*(picked.schema[k] for k in carried), *StructType.fromDDL(added).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = of()
         for batch in batches:
-            for part in slices(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns, *make(part)], names=[f.name for f in types])
+            for part in slices(batch, most):
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in carried), *make(part)], names=[f.name for f in types])
 
     return picked.mapInArrow(run, types)
 
@@ -85,10 +99,6 @@ def keep_rows(docs: DataFrame, of: Callable[[], Callable[[pa.RecordBatch], list[
     return docs.mapInArrow(run, docs.schema)
 
 
-#: Bytes of Arrow data that one step of a Python worker works on; a longer single row goes alone.
-SLICE_BYTES = 8 << 20
-
-
 def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``most`` bytes, so that a worker's memory follows neither the
     session's rows per batch nor the longest text. An empty batch is passed over."""

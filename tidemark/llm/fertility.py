@@ -225,4 +225,4 @@ def judge(docs: DataFrame, vocabularies: tuple[str, ...] = VOCABULARIES, bands:
 
         return make
 
-    return annotate(docs, ["doc_id", "text"], _COLUMNS, of).drop("text")
+    return annotate(docs, ["doc_id", "text"], _COLUMNS, of)

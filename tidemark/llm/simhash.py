@@ -62,7 +62,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
 
 
 def fingerprints(docs: DataFrame, columns: list[str], shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``columns``, the text first, and the fingerprint as a signed number."""
+    """``columns`` but the first, which is the text, and the fingerprint as a signed number."""
 
     def of() -> Callable[[pa.RecordBatch], list[pa.Array]]:
         def make(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -154,7 +154,7 @@ def group_roots(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, level
 def groups(docs: DataFrame, most: int = MOST, shingle: int = SHINGLE, seed: int = SEED, cell_points: int = CELL) -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (signed), component_id."""
     ensure_checkpoint_dir(docs.sparkSession)
-    own = fingerprints(docs.select("text", F.col("doc_id").cast("bigint").alias("doc_id")), ["text", "doc_id"], shingle, seed).drop("text").checkpoint()
+    own = fingerprints(docs.select("text", F.col("doc_id").cast("bigint").alias("doc_id")), ["text", "doc_id"], shingle, seed).checkpoint()
     least = own.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).checkpoint()
     roots = group_roots(least.select("fingerprint"), most, cell_points=cell_points).checkpoint()
     labelled = least.join(roots, least.fingerprint == roots.node, "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
@@ -176,7 +176,7 @@ def keep_one(docs: DataFrame, most: int = MOST) -> DataFrame:
     none, key, hash_, row = fresh(docs, "__none", "__id", "__hash", "__row")
     names = [none, key, hash_]
     ident = [F.col("doc_id").isNull().alias(none), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias(key), F.coalesce(F.xxhash64("text"), F.lit(0)).alias(hash_)]
-    own = fingerprints(docs.select("text", *ident), ["text", *names]).drop("text").checkpoint()
+    own = fingerprints(docs.select("text", *ident), ["text", *names]).checkpoint()
     least = own.groupBy("fingerprint").agg(F.min(F.struct(*names)).alias("least")).checkpoint()
     roots = group_roots(least.select("fingerprint"), most)
     labelled = least.join(roots, least.fingerprint == roots.node, "left").select("least", F.coalesce("root", "fingerprint").alias("root"))
