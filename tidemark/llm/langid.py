@@ -9,8 +9,10 @@ A filter's response to a run of bytes is a sum of one table entry a byte. Traini
 at the places of the maxima only. For application, entries of two neighbouring bytes are summed
 beforehand, so a filter of width four costs two look-ups.
 
-The network is fitted on a bounded sample (``PER_LANGUAGE`` documents of each language, one stretch of
-``STRETCH`` characters of each); all rows are judged, over whole texts.
+What the network learns from are labelled windows: those of the whole texts of all documents to learn from,
+cut as for judging. It is fitted on a bounded sample of them (``PER_LANGUAGE`` windows of each language, those
+with the smallest hashes over all texts, so any place of any text may be among them); all rows are judged,
+over whole texts.
 
 Defined results: ``und`` with score 0 for a null text, one without a letter, and where no document
 has a language to learn from. Repeated rows each get the same row. Rows without an id are judged, but
@@ -29,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, annotate, below, bytes_of, fold, held_out
+from tidemark.llm.common import LOWER, annotate, bytes_of, fold, held_out, largest
 
 UNKNOWN = "und"
 WIDTHS, FILTERS, WINDOW = (2, 3, 4, 5), 16, 256
-#: The training sample: documents of each language, characters of each document, languages.
-PER_LANGUAGE, STRETCH, MOST_LANGUAGES = 500, 320, 500
+#: The training sample: windows of each language, languages.
+PER_LANGUAGE, MOST_LANGUAGES = 800, 500
 EPOCHS, BATCH, RATE, DECAY = 30, 96, 0.02, 1e-5
 _STEP = 64
 _LETTER = regex.compile(r"\p{L}")
@@ -179,29 +181,33 @@ class Applied:
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """text and lang of the documents with the smallest id hashes in each language, folds but 0 only.
+    """window (bytes) and lang of the windows with the smallest hashes in each language, folds but 0 only.
 
-    Languages are counted first, so that only about twice the rows wanted are ranked in the end, and
-    neither a language with most rows nor many tasks make that step larger.
+    Windows are numbered where the texts lie and drawn by the hash of document and number, against a bound that
+    follows from the language's count of windows: so only about twice the windows wanted are cut out and ranked,
+    and neither a language with most rows nor one very long text makes that step larger.
     """
-    able = docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = able.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    step = WINDOW - WIDTHS[-1] + 1
+    able = docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", F.col("text").cast("binary").alias("bytes"))
+    windows = F.greatest(F.lit(1), F.ceil((F.length("bytes") - (WINDOW - step)) / step)).cast("int")
+    counts = able.groupBy("lang").agg(F.sum(windows.cast("bigint")).alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"at most {MOST_LANGUAGES} languages")
-    order = F.xxhash64("doc_id")
-    chosen = F.lit(False)
+    # The bound of each language is an expression, so the draw needs no join.
+    bound = F.lit(None).cast("bigint")
     for r in counts:
-        chosen = chosen | ((F.col("lang") == r.lang) & below(order, per_language, r["count"]))
-    at = F.pmod(F.xxhash64("doc_id", F.lit("stretch")), F.greatest(F.length("text") - STRETCH + 1, F.lit(1)))
-    rank = W.partitionBy("lang").orderBy(order, "doc_id", F.xxhash64("text"))
-    cut_out = able.where(chosen).select("doc_id", "lang", F.substring("text", at.cast("int") + 1, F.lit(STRETCH)).alias("text"))
-    return cut_out.withColumn("__rank", F.row_number().over(rank)).where(F.col("__rank") <= per_language).select("text", "lang")
+        bound = F.when(F.col("lang") == r.lang, F.lit(largest(per_language, r.n))).otherwise(bound)
+    drawn = F.filter(F.sequence(F.lit(0), windows - 1), lambda k: F.xxhash64("doc_id", k) <= F.col("bound"))
+    cut_out = able.withColumn("bound", bound).select("doc_id", "lang", "bytes", F.explode(drawn).alias("k"))
+    picked = cut_out.select("lang", F.xxhash64("doc_id", "k").alias("hash"), "doc_id", "k", F.substring("bytes", F.col("k") * step + 1, F.lit(WINDOW)).alias("window"))
+    rank = W.partitionBy("lang").orderBy("hash", "doc_id", "k", "window")
+    return picked.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_language).select("window", "lang")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network:
-    rows = sorted((r.lang, r.text) for r in training_sample(docs.select("doc_id", "text", "lang"), per_language).collect())
-    rows = [(lang, text) for lang, text in rows if _LETTER.search(text)]
-    return train([text.encode() for _, text in rows], [lang for lang, _ in rows]) if rows else Network.start([])
+    rows = sorted((r.lang, bytes(r.window)) for r in training_sample(docs.select("doc_id", "text", "lang"), per_language).collect())
+    rows = [(lang, window) for lang, window in rows if _LETTER.search(window.decode(errors="ignore"))]
+    return train([window for _, window in rows], [lang for lang, _ in rows]) if rows else Network.start([])
 
 
 def identify(docs: DataFrame, net: Network) -> DataFrame:
