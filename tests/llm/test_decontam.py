@@ -65,10 +65,54 @@ def test_suffix_order_of_copies():
     assert order.tolist() == sorted(range(len(text)), key=lambda k: (*((int(x), 0) for x in text[k : ends[k]]), (0, ends[k])))
 
 
-def test_table(spark, sf):
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 8_000}, {"block_bytes": 3_000, "shard_words": 500}])
+def test_table(spark, sf, options):
+    """Whole tables, with one block of phrases and with several."""
     docs = [(r.doc_id, r.text) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     items = [(r.item_id, r.text) for r in table(spark, sf, "benchmark").collect()]
-    check(spark, docs, items)
+    assert decontam.block_count(spark.createDataFrame(items, ITEMS), options.get("block_bytes", decontam.BLOCK_BYTES)) > 1 or not options
+    check(spark, docs, items, **options)
+
+
+def test_packed_phrases():
+    """Windows and their owners as a plain dictionary has them."""
+    items = [(k, " ".join(f"w{(k * j) % 7}" for j in range(n)).encode()) for k, n in enumerate([0, 1, 5, 12, 13, 14, 40, 40, 3, 3])] + [(3, b"w0 w1"), (None, b"w0 w1 w2"), (4, None)]
+    made, want = decontam.Phrases.of(items), {}
+    for item, text in items:
+        words = [made.numbers[w] for w in decontam.words_of(text)]
+        for k in range(max(1, len(words) - 12) if words else 0):
+            want.setdefault(tuple(words[k : k + 13]), set()).add(None if item is None else str(item))
+    got = {tuple(w[:n].tolist()): {made.items[i] for i in made.owners[a:b]} for w, n, a, b in zip(made.windows, made.lengths, made.starts[:-1], made.starts[1:], strict=True)}
+    assert got == want and len(made.windows) == len(want) and not any(w[n:].any() for w, n in zip(made.windows, made.lengths))
+    assert len(decontam.Phrases.of([]).windows) == len(decontam.Phrases.of([(1, b"?!")]).windows) == 0
+
+
+@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 8_000])
+def test_cleaned_table(spark, sf, block_bytes):
+    """What stays and what it says, by brute force: words of clean places and all that isn't between hit words."""
+    docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    windows = Counter()
+    for r in bench.collect():
+        w = brute_words(r.text)
+        windows.update(tuple(w[k : k + 13]) for k in range(max(1, len(w) - 12) if w else 0))
+    sizes, want, cut = {len(w) for w in windows}, {}, 0
+    for r in docs.collect():
+        spots = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r.text or "")]
+        w, hit = brute_words(r.text), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+        if hit and 20 * len(hit) >= len(w):
+            continue
+        text = r.text
+        for k in sorted(hit, reverse=True):
+            text = text[: spots[k][0]] + text[spots[k + 1][0] if k + 1 in hit else spots[k][1] :]
+        cut += bool(hit)
+        want[r.doc_id] = (text, len(text) if hit else r.n_chars, r.lang, r.source)
+    got = decontam.decontaminate(docs, bench, block_bytes=block_bytes)
+    assert got.columns == docs.columns
+    assert {r.doc_id: (r.text, r.n_chars, r.lang, r.source) for r in got.collect()} == want and len(want) < docs.count()
 
 
 LONG = " ".join(f"w{k % 97}" for k in range(3000))

@@ -5,9 +5,12 @@ numbered by the phrases' vocabulary; any other word is the end of a run, as no p
 index is searched backward for all phrases at once, occurrences are located from kept suffix places,
 and overlapping ones merge into spans of words, from which counts, item ids and cleaned texts come.
 
-Shards are cut out of the batches a task reads, so documents aren't shuffled. The phrases travel by
-broadcast in blocks of at most ``BLOCK_BYTES`` of item text; one block is the usual case, several are
-searched one after another against all documents and their spans merged by document.
+Shards are cut out of the batches a task reads, so documents aren't shuffled: an index holds the phrases' words
+of a few megabytes of text. The phrases travel by broadcast in blocks of about ``BLOCK_BYTES`` of item text, one
+at a time: one block is the usual case; of several, each is searched in all documents, what it hits is written
+to the checkpoint folder, and it is destroyed before the next is made. Their spans are merged by document.
+
+Cleaning drops contaminated documents, takes the passages out of the others, or both.
 
 Defined results: a null or empty text has no words, hits or items. Repeated documents each get a row.
 A null item has no words; an item with a null id marks words but isn't listed. Repeated item ids are
@@ -17,7 +20,8 @@ one item with the windows of all its texts. With no benchmark nothing is hit.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,12 +30,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, keep_rows, slices
+from tidemark.llm.common import bytes_of, fresh, slices
 from tidemark.llm.fmindex import FMIndex
+from tidemark.session import ensure_checkpoint_dir
 
 WINDOW = 13
-#: Text of benchmark items that is broadcast and searched at once.
-BLOCK_BYTES = 64 << 20
+#: Text of benchmark items that is broadcast and searched at once. The driver holds about 25 bytes for each.
+BLOCK_BYTES = 4 << 20
 #: Words in one index; a longer document is cut into pieces that overlap by a window.
 SHARD_WORDS = 1 << 19
 
@@ -56,22 +61,29 @@ class Phrases:
     @classmethod
     def of(cls, items: list[tuple[object, bytes | None]], window: int = WINDOW) -> Phrases:
         numbers: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
         names: dict[str | None, int] = {}
+        own, sizes, ids = [], [], []
         for item, text in items:
-            own = [numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)]
-            if not own:
-                continue
-            k = names.setdefault(None if item is None else str(item), len(names))
-            for at in range(max(1, len(own) - window + 1)):
-                found.setdefault(tuple(own[at : at + window]), set()).add(k)
-        width = max(map(len, found), default=1)
-        table = np.zeros((len(found), width), np.int64)
-        for row, key in enumerate(found):
-            table[row, : len(key)] = key
-        owners = [np.fromiter(sorted(x), np.int64, len(x)) for x in found.values()]
-        starts = np.concatenate(([0], np.cumsum([len(x) for x in owners]))).astype(np.int64)
-        return cls(numbers, table, np.array([len(x) for x in found], np.int64), np.concatenate(owners) if owners else np.empty(0, np.int64), starts, list(names))
+            words = np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)], np.int32)
+            if len(words):
+                own.append(words)
+                sizes.append(len(words))
+                ids.append(names.setdefault(None if item is None else str(item), len(names)))
+        if not own:
+            return cls(numbers, np.zeros((0, 1), np.int32), *(np.zeros(n, np.int64) for n in (0, 0, 1)), [])
+        # A row for each place at which a window begins; what lies behind the item's end is cut to zeros.
+        size, width = np.array(sizes), min(window, max(sizes))
+        count = np.maximum(1, size - window + 1)
+        item = np.repeat(np.arange(len(size)), count)
+        nth = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+        line = np.concatenate([*own, np.zeros(width, np.int32)])
+        table = np.lib.stride_tricks.sliding_window_view(line, width)[(np.cumsum(size) - size)[item] + nth]
+        length = np.minimum(window, size[item] - nth)
+        table = np.where(np.arange(width) < length[:, None], table, 0).astype(np.int32)
+        _, first, number = np.unique(table.view(f"V{4 * width}").ravel(), return_index=True, return_inverse=True)
+        pairs = np.unique(number.astype(np.int64) << 32 | np.array(ids)[item])
+        starts = np.searchsorted(pairs >> 32, np.arange(len(first) + 1))
+        return cls(numbers, table[first], length[first], pairs & 0xFFFFFFFF, starts, list(names))
 
 
 @dataclass
@@ -157,11 +169,13 @@ def is_contaminated(words: int, hits: int) -> bool:
     return hits > 0 and 20 * hits >= words
 
 
-def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[Phrases]:
-    """The items in blocks whose text is about ``block_bytes``; each is held by the driver in turn."""
+def block_count(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
+    return max(1, -(-(benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
+
+
+def phrase_blocks(benchmark: DataFrame, blocks: int, window: int = WINDOW) -> Iterator[Phrases]:
+    """The items in so many blocks, made one after another."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         # Of an item that is in the table more than once only different texts count.
@@ -171,9 +185,8 @@ def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int =
 _COLUMNS = "doc_id bigint, n_words bigint, n_hit bigint, spans array<struct<first:int,last:int>>, items array<string>"
 
 
-def _spans(docs: DataFrame, phrases: Phrases, hit_only: bool, shard_words: int) -> DataFrame:
+def _spans(docs: DataFrame, sent: Broadcast, hit_only: bool, shard_words: int) -> DataFrame:
     """One row a document (or only those with a hit), keyed by id and text digest when ``hit_only``."""
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = _COLUMNS + (", digest string" if hit_only else "")
 
@@ -192,6 +205,22 @@ def _spans(docs: DataFrame, phrases: Phrases, hit_only: bool, shard_words: int)
     return picked.mapInArrow(run, schema)
 
 
+def _hits(docs: DataFrame, benchmark: DataFrame, blocks: int, window: int, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(doc_id, digest, spans, items) of the documents with a hit, block after block."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    hit = None
+    for phrases in phrase_blocks(benchmark, blocks, window):
+        sent = docs.sparkSession.sparkContext.broadcast(phrases)
+        own = _spans(docs, sent, True, shard_words).checkpoint()
+        sent.destroy()
+        hit = own if hit is None else hit.unionByName(own)
+    joined = hit.groupBy("doc_id", "digest").agg(
+        F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+    step = "CASE WHEN size(acc) > 0 AND element_at(acc, -1).last >= x.first THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('first', element_at(acc, -1).first, 'last', greatest(element_at(acc, -1).last, x.last)))) ELSE concat(acc, array(x)) END"
+    return joined.withColumn("spans", F.expr(f"aggregate(spans, slice(spans, 1, 0), (acc, x) -> {step})"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, n_hit, merged spans of word places
     [first, last) and the item ids found, sorted as text.
@@ -199,19 +228,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     With one block of phrases nothing is shuffled. With several, the documents are searched for each
     block, and only those that have a hit are gathered, by id and text digest, to merge their spans.
     """
-    blocks = phrase_blocks(benchmark, window, block_bytes)
-    first = next(blocks)
-    rest = list(_spans(docs, p, True, shard_words) for p in blocks)
-    if not rest:
-        return _spans(docs, first, False, shard_words).withColumn("items", F.array_sort("items"))
-    hit = _spans(docs, first, True, shard_words)
-    for more in rest:
-        hit = hit.unionByName(more)
-    joined = hit.groupBy("doc_id", "digest").agg(
-        F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
-    )
-    step = "CASE WHEN size(acc) > 0 AND element_at(acc, -1).last >= x.first THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('first', element_at(acc, -1).first, 'last', greatest(element_at(acc, -1).last, x.last)))) ELSE concat(acc, array(x)) END"
-    joined = joined.withColumn("spans", F.expr(f"aggregate(spans, slice(spans, 1, 0), (acc, x) -> {step})"))
+    blocks = block_count(benchmark, block_bytes)
+    if blocks == 1:
+        sent = docs.sparkSession.sparkContext.broadcast(next(phrase_blocks(benchmark, 1, window)))
+        return _spans(docs, sent, False, shard_words).withColumn("items", F.array_sort("items"))
+    joined = _hits(docs, benchmark, blocks, window, shard_words)
     counted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"), word_count(F.col("text")).alias("n_words"))
     out = counted.alias("d").join(joined.alias("j"), F.expr("d.doc_id <=> j.doc_id AND d.digest = j.digest"), "left")
     return out.selectExpr(
@@ -240,62 +261,62 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def _all_spans(texts: list[bytes | None], blocks: list[Broadcast]) -> tuple[list[int], list[list[tuple[int, int]]]]:
-    """Words of each text, and the union of its spans over all blocks of phrases."""
-    counts, spans = [0] * len(texts), [[] for _ in texts]
-    for block in blocks:
-        found = find(texts, block.value)
-        counts = found.words
-        for k, own in enumerate(found.spans):
-            spans[k] += own
-    return counts, [merged(*np.array(sorted(own), np.int64).T) if own else [] for own in spans]
-
-
-def _sent(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> list[Broadcast]:
-    return [docs.sparkSession.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, window, block_bytes)]
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that no benchmark contaminates."""
-    blocks = _sent(docs, benchmark, window, block_bytes)
+    return _cleaned(docs, benchmark, True, False, window, block_bytes, "")
 
-    def of() -> Callable[[pa.RecordBatch], list[bool]]:
-        def keep(batch: pa.RecordBatch) -> list[bool]:
-            counts, spans = _all_spans(bytes_of(batch.column(batch.schema.get_field_index("text"))), blocks)
-            return [not is_contaminated(n, sum(b - a for a, b in own)) for n, own in zip(counts, spans, strict=True)]
 
-        return keep
+def remove_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, length: str = "n_chars") -> DataFrame:
+    """The rows of ``docs``, all columns, their texts without the merged spans of benchmark phrases. The column
+    ``length``, if there is one, follows a text that changed."""
+    return _cleaned(docs, benchmark, False, True, window, block_bytes, length)
 
-    return keep_rows(docs, of)
 
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, length: str = "n_chars") -> DataFrame:
+    """The rows that no benchmark contaminates, without what passages they hold all the same."""
+    return _cleaned(docs, benchmark, True, True, window, block_bytes, length)
 
-def remove_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, their texts without the merged spans of benchmark phrases."""
-    blocks, at = _sent(docs, benchmark, window, block_bytes), docs.columns.index("text")
+
+def _cleaned(docs: DataFrame, benchmark: DataFrame, drop: bool, remove: bool, window: int, block_bytes: int, length: str) -> DataFrame:
+    blocks, at = block_count(benchmark, block_bytes), docs.columns.index("text")
+    size_at = docs.columns.index(length) if length in docs.columns else None
+    names, n = [f"`{c}`" for c in docs.columns], len(docs.columns)
+    if blocks == 1:
+        sent, source = docs.sparkSession.sparkContext.broadcast(next(phrase_blocks(benchmark, 1, window))), docs
+    else:
+        ident, digest, spans = fresh(docs, "__id", "__digest", "__spans")
+        hits = _hits(docs, benchmark, blocks, window).select(F.col("doc_id").alias(ident), F.col("digest").alias(digest), F.col("spans").alias(spans))
+        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(ident)) & (F.sha2(F.col("text").cast("binary"), 256) == F.col(digest))
+        sent, source = None, docs.join(hits, same, "left").select(*names, spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 texts = bytes_of(part.column(at))
-                _, spans = _all_spans(texts, blocks)
-                columns = list(part.columns)
-                columns[at] = pa.array([None if t is None else (without_spans(t, own) if own else t).decode() for t, own in zip(texts, spans, strict=True)], part.schema.field(at).type)
-                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+                if sent is not None:
+                    found = find(texts, sent.value)
+                    counts, own = found.words, found.spans
+                else:
+                    own = [[(s["first"], s["last"]) for s in x or ()] for x in part.column(n).to_pylist()]
+                    counts = [len(words_of(t)) if x else 0 for t, x in zip(texts, own, strict=True)]
+                columns = list(part.columns[:n])
+                if remove and any(own):
+                    new = [None if t is None else (without_spans(t, x) if x else t).decode() for t, x in zip(texts, own, strict=True)]
+                    columns[at] = pa.array(new, part.schema.field(at).type)
+                    if size_at is not None:
+                        sizes = [len(t) if x else old for t, x, old in zip(new, own, columns[size_at].to_pylist(), strict=True)]
+                        columns[size_at] = pa.array(sizes, part.schema.field(size_at).type)
+                made = pa.RecordBatch.from_arrays(columns, names=part.schema.names[:n])
+                kept = [not (drop and is_contaminated(words, sum(b - a for a, b in x))) for words, x in zip(counts, own, strict=True)]
+                yield made if all(kept) else made.filter(pa.array(kept, pa.bool_()))
+
+    return source.mapInArrow(run, docs.schema)
 
 
 def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words in these spans and what stands between them."""
-    shadow, out, at, word = text.translate(_WORDS), [], 0, -1
-    edges: list[tuple[int, int]] = []
-    inside = False
-    for k, byte in enumerate(shadow + b" "):
-        if byte != 32 and not inside:
-            word, begin, inside = word + 1, k, True
-        elif byte == 32 and inside:
-            edges.append((begin, k))
-            inside = False
+    edges = [m.span() for m in re.finditer(rb"[^ ]+", text.translate(_WORDS))]
+    out, at = [], 0
     for first, last in spans:
         out.append(text[at : edges[first][0]])
         at = edges[last - 1][1]
