@@ -29,9 +29,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs)
 
 
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark contaminates."""
-    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark contaminates, without the passages that some hold all the same."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("simhash", drop_near_copies),
-    ("decontamination", drop_contaminated),
+    ("decontamination", decontaminate),
     ("pii", pseudonymise),
     ("sentencepiece", encode),
 ]
