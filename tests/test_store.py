@@ -7,10 +7,11 @@ import os
 import uuid
 from datetime import date, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.errors import SchemaError, StoreError, Transient, ValidationError
+from tidemark.errors import SchemaError, SourceFailed, StoreError, Transient, ValidationError
 from tidemark.operators import backfill, guard, normalize, quality, revision
 from tidemark.operators.revision import Request
 from tidemark.operators.upsert import Facts
@@ -165,6 +166,103 @@ def test_stream_follows_commits(spark, store, tmp_path):
     assert values == [10, 20]
 
 
+def test_stream_sees_a_commit_only_once_it_is_final(spark, store, tmp_path):
+    """A trigger between commit and final record builds nothing, and the record wakes the next one."""
+    from tidemark.streaming.log_stream import follow
+
+    facts, checkpoint = Facts(spark, str(tmp_path / "facts")), str(tmp_path / "checkpoint")
+
+    def trigger():
+        follow(spark, store, facts, "lmp", checkpoint).awaitTermination()
+        fact = facts.read("fct_hourly_lmp")
+        return None if fact is None else int(fact.first().lmp)
+
+    assert trigger() is None
+    run(store, "10")
+    assert trigger() == 10
+    run_id = uuid.uuid4().hex
+    store.begin(PRICES, run_id)
+    store.commit(run_id, "lmp", planned(store, run_id, "20"))
+    assert trigger() == 10
+    store.finalize(run_id)
+    assert trigger() == 20
+
+
+def test_of_two_builds_one_is_published(spark, store, tmp_path, monkeypatch):
+    facts, other = (Facts(spark, str(tmp_path / "facts")) for _ in range(2))
+    run(store, "10")
+    facts.build(store, "lmp")
+    run(store, "20")
+    original = Facts.publish
+
+    def slow(self, *args):
+        if self is facts:
+            other.build(store, "lmp")
+        return original(self, *args)
+
+    monkeypatch.setattr(Facts, "publish", slow)
+    with pytest.raises(StoreError, match="another build"):
+        facts.build(store, "lmp")
+    assert [int(r.lmp) for r in facts.read("fct_hourly_lmp").collect()] == [20] and facts.mark("fct_hourly_lmp") == 2
+    assert facts.build(store, "lmp")[1] == 0
+
+
+def test_a_build_writes_only_dates_that_change(spark, tmp_path):
+    store, facts = Store(spark, str(tmp_path / "raw")), Facts(spark, str(tmp_path / "facts"))
+    store.bootstrap()
+    requests = [Request("lmp", date(2026, 8, d), scenario.HUB) for d in (1, 2, 3)]
+    for r in requests:
+        ingest(store, r, uuid.uuid4().hex, lambda r=r: days(spark, r))
+    facts.build(store, "lmp")
+    before = facts._version("fct_hourly_lmp")[1]["dates"]
+    ingest(store, requests[1], uuid.uuid4().hex, lambda: days(spark, requests[1]).withColumn("lmp", F.col("lmp") + 1).transform(lambda f: normalize.with_identity("lmp", f)))
+    fact, changed = facts.build(store, "lmp")
+    after = facts._version("fct_hourly_lmp")[1]["dates"]
+    assert changed == 24 and {d for d in after if after[d] != before[d]} == {"2026-08-02"} and fact.count() == 72
+    assert fact.select(*fact.columns).exceptAll(models.fact(store.tables(), "lmp").select(*fact.columns)).count() == 0
+    assert len(facts.read("fct_hourly_lmp", ["2026-08-03"]).inputFiles()) < len(fact.inputFiles())
+    # A snapshot for planning opens the commits of its own date only.
+    assert store.read("lmp_contents", day=date(2026, 8, 2)).count() == 48 and store.read("lmp_contents", day=date(2026, 8, 3)).count() == 24
+
+
+def test_drift_of_stored_data(spark, store):
+    run(store, "10")
+    assert store.bootstrap()["status"] == "checked"
+    folder = store._entries()[-1]["commit"]["folders"]["lmp_contents"]
+    rows = store.spark.read.parquet(store.files.path(folder)).withColumn("lmp", F.lit("10")).collect()
+    spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{f} string" if f == "lmp" else f"{f} {t}" for f, t in spark.read.parquet(store.files.path(folder)).dtypes)).write.mode("overwrite").parquet(store.files.path(folder))
+    with pytest.raises(SchemaError, match="lmp"):
+        store.bootstrap()
+
+
+def test_stores_without_exclusive_create_are_refused(spark):
+    for root in ("s3a://bucket/raw", "gs://bucket/raw"):
+        with pytest.raises(StoreError):
+            Store(spark, root)
+
+
+def a_client(product, day, location):
+    if day == date(2026, 8, 2):
+        raise RuntimeError("broken")
+    if day == date(2026, 8, 3):
+        raise TimeoutError("slow")
+    hours = pd.date_range(f"{day}T07:00:00Z", periods=24, freq="h")
+    texts = [h.isoformat() for h in [*hours, hours[-1] + pd.Timedelta(hours=1)]]
+    return pd.DataFrame({"Time": texts[:-1], "Interval Start": texts[:-1], "Interval End": texts[1:], "Market": "DAY_AHEAD_HOURLY", "Location": location, "Location Type": "Trading Hub", "LMP": 31.5, "Energy": 30.0, "Congestion": 1.0, "Loss": 0.5})
+
+
+def test_fetch_from_a_client(spark):
+    rows = fetch(spark, Request("lmp", date(2026, 8, 1), scenario.HUB), "", via="tests.test_store:a_client")
+    assert rows.count() == 24 and rows.first().source_url == "tests.test_store:a_client"
+    with pytest.raises(SourceFailed):
+        fetch(spark, Request("lmp", date(2026, 8, 2), scenario.HUB), "", via="tests.test_store:a_client")
+    with pytest.raises(TimeoutError):
+        fetch(spark, Request("lmp", date(2026, 8, 3), scenario.HUB), "", via="tests.test_store:a_client")
+    for name in ("tests.test_store:nobody", "no_such_module:f", ""):
+        with pytest.raises(ValidationError):
+            fetch(spark, Request("lmp", date(2026, 8, 1), scenario.HUB), "", via=name)
+
+
 def days(spark, request):
     """Source frames for a backfill: synthetic prices, or one load."""
     if request.product == "load":

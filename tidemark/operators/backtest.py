@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import platform
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, exact_numeri
 from tidemark.operators import dispatch, quality
 from tidemark.operators.dispatch import Battery
 from tidemark.operators.revision import Request
-from tidemark.schemas import BATTERY_INPUTS, BATTERY_JSON, HUBS, NUMERIC, PRODUCTS, SOURCE
+from tidemark.schemas import BATTERY_INPUTS, BATTERY_JSON, HUBS, NUMERIC, PRODUCTS, SOURCE, VERSION
 
 MOST_DAYS = 7
 
@@ -92,6 +93,7 @@ def report(prices: DataFrame, days: DataFrame, totals: DataFrame, battery: Batte
         inputs.setdefault(str(r.market_date), []).append(r.asDict())
     body = {
         "input_kind": kind,
+        "versions": {"tidemark": VERSION, "spark": prices.sparkSession.version, "python": platform.python_version()},
         "backtest": {
             "config": battery.__dict__,
             "days": [r.asDict(recursive=True) | {"inputs": inputs[str(r.market_date)]} for r in days.orderBy("market_date").collect()],

@@ -1,17 +1,20 @@
 """Stored facts, brought up to date by candidates above their high-water mark.
 
-A fact is a version of Parquet files; a build writes the next version and then its marker, and readers
-take the latest version with a marker, so a build that dies leaves the fact as it was. The mark is the
-largest commit sequence, never an event time, so a late event is a candidate like any other.
+A fact is a set of Parquet folders by market date, named by the marker of its version. A build writes folders
+of its own for the dates it changes and then the next marker, which only one can create; readers take the latest.
+So a build that dies or loses leaves the fact as it was. The mark is the largest commit sequence, never an event
+time, so a late event is a candidate like any other.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.errors import StoreError
 from tidemark.operators.guard import distinct_places
 from tidemark.plans import models
 from tidemark.schemas import assert_contract, fact_columns
@@ -31,46 +34,58 @@ def candidates(states: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 class Facts:
+    """Facts in folders of market dates. A version's marker names the folder of each of its dates."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.files = spark, Files(spark, root)
 
-    def _version(self, name: str) -> int:
-        return max((int(n.split(".")[0]) for n in self.files.names(f"{name}/versions")), default=0)
-
-    def read(self, name: str) -> DataFrame | None:
-        n = self._version(name)
-        return self.spark.read.parquet(self.files.path(f"{name}/data-{n:08d}")) if n else None
-
-    def publish(self, name: str, frame: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    def _version(self, name: str) -> tuple[int, dict]:
+        n = max((int(n.split(".")[0]) for n in self.files.names(f"{name}/versions")), default=0)
+        return n, json.loads(self.files.read(f"{name}/versions/{n:08d}.json")) if n else {"commit_sequence": 0, "dates": {}}
+
+    def read(self, name: str, dates: list[str] | None = None) -> DataFrame | None:
+        """The latest version, or its rows of some market dates, whose folders alone are opened."""
+        n, marker = self._version(name)
+        if not n:
+            return None
+        paths = [self.files.path(folder) for day, folder in marker["dates"].items() if dates is None or day in dates]
+        product = next(p for p, fact in models.FACTS.items() if fact == name)
+        schema = ", ".join(f"{c} {kind}" for c, kind in fact_columns(product))
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def publish(self, name: str, frame: DataFrame, columns: list[tuple[str, str]], base: tuple[int, dict] | None = None) -> None:
+        """Writes a version: the frame's dates, and those of ``base`` that it doesn't touch. Of two builds from
+        one base the second fails, and the folders it wrote belong to no version."""
         assert_contract(frame, columns, name)
-        n = self._version(name) + 1
-        frame.write.mode("overwrite").parquet(self.files.path(f"{name}/data-{n:08d}"))
-        rows = self.spark.read.parquet(self.files.path(f"{name}/data-{n:08d}"))
-        mark = rows.agg(F.coalesce(F.max("commit_sequence"), F.lit(0)).alias("m")).first().m
-        self.files.create(f"{name}/versions/{n:08d}.json", json.dumps({"commit_sequence": mark}))
-        return rows
+        n, marker = base or (self._version(name)[0], {"commit_sequence": 0, "dates": {}})
+        folder = f"{name}/data-{uuid.uuid4().hex}"
+        frame.withColumn("__date", F.col("market_date").cast("string")).repartition("__date").write.partitionBy("__date").parquet(self.files.path(folder))
+        written = {day.removeprefix("__date="): f"{folder}/{day}" for day in self.files.names(folder) if day.startswith("__date=")}
+        mark = self.spark.read.parquet(self.files.path(folder)).agg(F.max("commit_sequence")).first()[0] if written else None
+        made = {"commit_sequence": max(marker["commit_sequence"], mark or 0), "dates": marker["dates"] | written}
+        if not self.files.create(f"{name}/versions/{n + 1:08d}.json", json.dumps(made)):
+            raise StoreError(f"another build has published version {n + 1} of {name}; build again")
 
     def mark(self, name: str) -> int:
-        n = self._version(name)
-        return json.loads(self.files.read(f"{name}/versions/{n:08d}.json"))["commit_sequence"] if n else 0
+        return self._version(name)[1]["commit_sequence"]
 
     def build(self, store: Store, product: str, full_refresh: bool = False) -> tuple[DataFrame, int]:
-        """The product's fact, and how many rows the build changed; with none, nothing is written."""
+        """The product's fact, and how many rows the build changed; with none, nothing is written. Only market
+        dates with a changed key are read and written again."""
         distinct_places(store.files.root, self.files.root)
         name, columns = models.FACTS[product], fact_columns(product)
-        stored = None if full_refresh else self.read(name)
-        if stored is None:
-            frame = self.publish(name, models.fact(store.tables(), product), columns)
-            return frame, frame.count()
+        base = self._version(name)
+        if full_refresh or not base[0]:
+            self.publish(name, models.fact(store.tables(), product), columns)
+            return (fact := self.read(name)), fact.count()
         # Transitions above the mark come from new commits' folders alone; their contents may be older.
-        tables = store.tables() | {f"{product}_state_transitions": store.read(f"{product}_state_transitions", self.mark(name))}
+        tables = store.tables() | {f"{product}_state_transitions": store.read(f"{product}_state_transitions", base[1]["commit_sequence"])}
         new = models.current(models.history(tables, product)).cache()
-        changed = new.count()
-        if not changed:
-            return stored, 0
-        frame = self.publish(name, merged(stored, new), columns)
+        if changed := new.count():
+            touched = [str(r.market_date) for r in new.select("market_date").distinct().collect()]
+            self.publish(name, merged(self.read(name, touched), new), columns, base)
         new.unpersist()
-        return frame, changed
+        return self.read(name), changed
 
     def tables(self, store: Store) -> dict[str, DataFrame]:
         """Raw tables and stored facts, for the models and their tests."""

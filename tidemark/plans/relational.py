@@ -1,4 +1,4 @@
-"""The reference's relational operators on the driver's tables.
+"""Relational operators on the driver's tables.
 
 Roles: ``orders`` play ingestion runs ('F' is SUCCEEDED), ``lineitem`` transitions and contents,
 ``events`` an observation log. Every query is a plan over whole tables; scans read only the columns they
@@ -159,8 +159,8 @@ FROM ranked WHERE r = 1 GROUP BY user_id""")
 def latest_snapshot_as_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of one day, each user's latest state of every type as an ordered array of structs, then as text."""
     events = _table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
-    events.createOrReplaceTempView("snapshot_events")
-    day = spark.sql("SELECT * FROM snapshot_events WHERE cast(ts AS date) = (SELECT date_add(cast(min(ts) AS date), 7) FROM snapshot_events)")
+    first = events.agg(F.date_add(F.min("ts").cast("date"), 7)).scalar()
+    day = events.where(F.col("ts").cast("date") == first)
     now = latest(day, ["user_id", "event_type"], [F.desc("event_id")])
     states = now.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_type", "event_id"))).alias("latest"))
     text = F.array_join(F.transform("latest", lambda s: F.concat_ws(":", s["event_type"], s["event_id"].cast("string"))), ",")
@@ -171,11 +171,10 @@ def latest_snapshot_as_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE event_id > (SELECT coalesce(max(event_id), 0) FROM events WHERE event_id <= (SELECT CAST(floor(max(event_id) * 0.9) AS BIGINT) FROM events))""")
 def incremental_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows above the stored high-water mark; the mark is a scalar subquery that reaches the scan."""
-    _table(spark, sf_dir, "events").createOrReplaceTempView("candidate_events")
-    return spark.sql("""
-        SELECT event_id, user_id, event_type FROM candidate_events WHERE event_id > (
-          SELECT coalesce(max(event_id), 0) FROM candidate_events
-          WHERE event_id <= (SELECT cast(floor(max(event_id) * 0.9) AS bigint) FROM candidate_events))""")
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    stored = events.where(F.col("event_id") <= events.agg(F.floor(F.max("event_id") * 0.9)).scalar())
+    mark = stored.agg(F.coalesce(F.max("event_id"), F.lit(0))).scalar()
+    return events.where(F.col("event_id") > mark)
 
 
 @query("""SELECT user_id, event_type, event_id, value FROM (

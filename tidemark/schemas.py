@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import SchemaError
 
+VERSION = "0.1.0"
 # Products, their constants and the hubs that are served.
 HUBS = ("TH_NP15_GEN-APND", "TH_SP15_GEN-APND", "TH_ZP26_GEN-APND")
 SOURCE = "CAISO"

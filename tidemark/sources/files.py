@@ -1,7 +1,8 @@
 """Immutable files on any file system Spark knows, and files that only one writer can create.
 
 Local paths are published by a hard link, which fails where the name exists and never shows a partial
-file. Elsewhere Hadoop's create without overwrite does the same on file systems with that guarantee.
+file. Elsewhere Hadoop's create without overwrite does the same on file systems with that guarantee; others,
+such as plain object stores, where two writers could both believe they were first, are refused.
 """
 
 from __future__ import annotations
@@ -12,12 +13,21 @@ from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
+from tidemark.errors import StoreError
+
+
+#: Schemes whose create without overwrite is exclusive.
+EXCLUSIVE = ("file", "hdfs", "viewfs", "abfs", "abfss", "ofs")
+
 
 class Files:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         plain = self.root.removeprefix("file://") if self.root.startswith("file:///") else self.root
         self.local = plain if "://" not in plain else None
+        scheme = plain.split("://")[0]
+        if self.local is None and scheme not in EXCLUSIVE:
+            raise StoreError(f"{scheme} can't create a file exclusively; keep the log on one of {', '.join(EXCLUSIVE)}")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -1,19 +1,20 @@
 """Market data from files with the columns of the service's client, and a Spark data source over them.
 
-There is no network here: a file or any callable stands where the client would. Frames pass the same
-normalisation either way.
+A file, or a client that the caller names, is the source: this package speaks to no network itself. Frames pass
+the same normalisation either way.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import UTC, date, datetime
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tidemark.errors import UnsupportedRequest, ValidationError
+from tidemark.errors import SourceFailed, UnsupportedRequest, ValidationError
 from tidemark.operators import normalize
 from tidemark.operators.revision import Request
 
@@ -35,12 +36,35 @@ def read_frame(spark: SparkSession, product: str, path: str) -> DataFrame:
     return reader.option("multiLine", path.endswith(".json")).option("mode", "FAILFAST").json(path)
 
 
-def fetch(spark: SparkSession, request: Request, path: str, method: str = "file", library_version: str = "file") -> DataFrame:
-    """Normalised observations of a request from a file; rows outside the request are an error."""
+def client(name: str) -> Callable[[str, date, str | None], object]:
+    """A client of the service, named as ``module:function``: called with product, day and hub, it returns a
+    pandas or Spark frame with the service's columns."""
+    module, _, function = name.partition(":")
+    try:
+        return getattr(import_module(module), function)
+    except (ImportError, AttributeError, ValueError) as error:
+        raise ValidationError(f"no client at {name}") from error
+
+
+def fetch(spark: SparkSession, request: Request, path: str, method: str = "file", library_version: str = "file", via: str | None = None) -> DataFrame:
+    """Normalised observations of a request from a file, or from the client ``via``; rows outside the request are
+    an error, and so is whatever the client raises, as a failure that may pass if it is one of the network."""
     if request.product == "load" and request.hours > 24:
         raise UnsupportedRequest("the load source can't tell the repeated hour of a fall-back day apart")
     provenance = {"retrieved_at_utc": datetime.now(UTC).replace(tzinfo=None), "source_url": path, "source_method": method, "library_version": library_version}
-    rows = normalize.normalize(request.product, read_frame(spark, request.product, path), provenance)
+    if via is None:
+        frame = read_frame(spark, request.product, path)
+    else:
+        call = client(via)
+        provenance |= {"source_url": via, "source_method": "client", "library_version": getattr(import_module(via.split(":")[0]), "__version__", "unknown")}
+        try:
+            given = call(request.product, request.day, request.location)
+        except (ConnectionError, TimeoutError):
+            raise
+        except Exception as error:
+            raise SourceFailed(f"the client failed: {type(error).__name__}") from error
+        frame = given if isinstance(given, DataFrame) else spark.createDataFrame(given)
+    rows = normalize.normalize(request.product, frame, provenance)
     first, last = request.bounds
     start = F.col("interval_start_utc")
     wrong = (start < F.lit(first).cast("timestamp_ntz")) | (start >= F.lit(last).cast("timestamp_ntz"))

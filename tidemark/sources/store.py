@@ -19,14 +19,13 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.errors import CommitUnconfirmed, StoreError, TidemarkError
+from tidemark.errors import CommitUnconfirmed, SchemaError, StoreError, TidemarkError
 from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, WAREHOUSE_SCHEMA
 from tidemark.operators import revision
 from tidemark.operators.revision import Request, valid_run_id
-from tidemark.schemas import RAW, SOURCE
+from tidemark.schemas import RAW, SOURCE, VERSION
 from tidemark.sources.files import Files
 
-VERSION = "0.1.0"
 OWNER = "tidemark"
 #: Commits after which a digest of the log is written.
 DIGEST_EVERY = 50
@@ -58,8 +57,18 @@ class Store:
             raise StoreError("the folder belongs to another owner")
         if there != json.loads(mine):
             raise StoreError("the store has another schema; it is not migrated")
+        self.check_data()
         return {"store": self.files.root, "status": "checked"}
 
+    def check_data(self) -> None:
+        """Compares the files of the latest commit of each table with its schema; drift is an error."""
+        latest = {table: folder for e in self._entries() for table, folder in e["commit"]["folders"].items()}
+        for table, folder in latest.items():
+            there = {f.name: f.dataType for f in self.spark.read.parquet(self.files.path(folder)).schema}
+            due = {f.name: f.dataType for f in RAW[table]}
+            if drift := sorted(n for n in there.keys() | due.keys() if there.get(n) != due.get(n)):
+                raise SchemaError(f"stored {table} drifted from its schema: {', '.join(drift)}")
+
     def _checked(self) -> None:
         if self.files.read("_schema.json") is None:
             raise StoreError("there is no store here; bootstrap first")
@@ -147,7 +156,8 @@ class Store:
             frame.write.mode("overwrite").parquet(self.files.path(folder))
             counts[key] = self.spark.read.schema(RAW[table]).parquet(self.files.path(folder)).count()
             folders[table] = folder
-        record = {"run_id": run_id, "batch_hash": change.batch_hash, "commit_job_id": f"commit-{run_id}", "folders": folders, **counts, **{k: change.accepted for k in ("rows_fetched", "rows_normalized", "rows_accepted")}}
+        day = self._record(f"runs/{run_id}.started.json")["requested_date"]
+        record = {"run_id": run_id, "day": day, "batch_hash": change.batch_hash, "commit_job_id": f"commit-{run_id}", "folders": folders, **counts, **{k: change.accepted for k in ("rows_fetched", "rows_normalized", "rows_accepted")}}
         if not self.files.create(f"log/{n:012d}.commit.json", json.dumps(record)):
             raise StoreError("stale snapshot: the sequence is taken by another run")
         return n
@@ -195,7 +205,7 @@ class Store:
                 raise StoreError(f"run {active} waits to be resumed")
             sequence = self.sequence()
             rows = revision.batch(request, records)
-            ids, latest = revision.snapshot(self.read(f"{request.product}_contents"), self.read(f"{request.product}_state_transitions"), request.day)
+            ids, latest = revision.snapshot(*(self.read(f"{request.product}_{kind}", day=request.day) for kind in ("contents", "state_transitions")), request.day)
             change = revision.plan(request.product, run_id, rows, ids, latest, sequence)
             self.commit(run_id, request.product, change)
         except Exception as error:
@@ -240,10 +250,9 @@ class Store:
     def control(self) -> DataFrame:
         return self.spark.createDataFrame([(1, self.sequence(), WAREHOUSE_SCHEMA, self.active_run())], RAW["warehouse_control"])
 
-    def read(self, table: str, above: int = 0) -> DataFrame:
-        """Committed rows of a table, of sequences above a mark only; clocks come from the log.
-
-        Folders of older commits aren't opened, so an incremental reader touches new files only.
+    def read(self, table: str, above: int = 0, day: date | None = None) -> DataFrame:
+        """Committed rows of a table, of sequences above a mark and of one market date only, if given; clocks come
+        from the log. Folders of other commits aren't opened: a commit holds rows of one date.
         """
         if table == "ingestion_runs":
             return self.runs()
@@ -251,7 +260,7 @@ class Store:
             return self.control()
         if table not in _TABLES:
             raise StoreError(f"unknown table {table}")
-        paths = [self.files.path(e["commit"]["folders"][table]) for e in self._entries() if e["n"] > above and table in e["commit"]["folders"]]
+        paths = [self.files.path(e["commit"]["folders"][table]) for e in self._entries() if e["n"] > above and (day is None or e["commit"]["day"] == str(day)) and table in e["commit"]["folders"]]
         schema = RAW[table]
         rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         clock, run = ("first_seen_at", "first_run_id") if table.endswith("contents") else ("known_at", "run_id")
