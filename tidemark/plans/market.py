@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timez
 from tidemark.functions.identity import decimal_text
-from tidemark.operators import dispatch, normalize, quality
+from tidemark.operators import dispatch
 from tidemark.operators.dispatch import Battery
-from tidemark.plans import models, scenario
+from tidemark.plans import scenario
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,18 +43,6 @@ def hourly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced.select(F.lit(scenario.HUB).alias("location"), "market_date", F.col("h").alias("interval_start_utc"), F.coalesce("lmp", F.lit(50).cast("decimal(38,9)")).alias("lmp"))
 
 
-@query()
-def battery_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best dispatch and its metrics for each day; days are solved in parallel."""
-    return dispatch.day_metrics(dispatch.dispatch_days(hourly_prices(spark, sf_dir), REFERENCE), REFERENCE)
-
-
-@query()
-def battery_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row over all days of the benchmark."""
-    return dispatch.totals(battery_backtest(spark, sf_dir))
-
-
 _PRICES = """
 WITH e AS (SELECT date_trunc('hour', ts) AS h, CAST(value AS DECIMAL(18,4)) AS v FROM events),
 b AS (SELECT CAST((min(h) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) + 1 AS a, CAST((max(h) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) - 1 AS z FROM e),
@@ -75,48 +63,6 @@ def battery_inputs_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT 0::BIGINT AS n, 'gaps' AS what")
-def battery_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days that lack an hour or have one twice: none, by an outer join with each day's hours."""
-    prices = hourly_prices(spark, sf_dir)
-    days = prices.select("location", "market_date").distinct()
-    return quality.coverage(prices, days).agg(F.count("*").alias("n")).withColumn("what", F.lit("gaps"))
-
-
-@query("""SELECT * FROM (VALUES (2025, 10.0::DOUBLE, 1::BIGINT, 41::BIGINT, '2026-09-01 00:41:00'), (2026, 10.0, 3, 31, '2026-09-01 00:01:00')) AS v(event_year, lmp, state_ordinal, commit_sequence, first_seen)""")
-def scenario_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current prices after five steps: a returned state keeps its first clock, a late event is there."""
-    fact = models.fact(scenario.build(spark, "late"), "lmp")
-    return fact.select(F.year("interval_start_utc").alias("event_year"), F.col("lmp").cast("double").alias("lmp"), "state_ordinal", "commit_sequence", F.date_format("first_seen_at", "yyyy-MM-dd HH:mm:ss").alias("first_seen"))
-
-
-@query("""SELECT * FROM (VALUES ('lmp', 'clean', 0::BIGINT), ('lmp', 'current', 2), ('lmp', 'history', 1), ('lmp', 'valid_facts', 2),
-('load', 'clean', 0), ('load', 'current', 2), ('load', 'history', 1), ('load', 'valid_facts', 2)) AS v(product, contract, offenders)""")
-def scenario_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offenders that the tests find in clean tables and in three corrupted versions of them."""
-    tables, out = scenario.build(spark, "late"), None
-    for product in ("lmp", "load"):
-        fact = models.fact(tables, product)
-        gone = dict(tables) | {f"{product}_contents": tables[f"{product}_contents"].where(F.col(product if product == "lmp" else "load") != 20)}
-        found = (
-            ("clean", quality.reconcile(tables, product, fact=fact)),
-            ("current", quality.reconcile(tables, product, fact=fact.withColumn("transition_id", F.lit("x"))).where("contract = 'current'")),
-            ("history", quality.reconcile(gone, product, states=models.history(gone, product), fact=fact).where("contract = 'history'")),
-            ("valid_facts", quality.valid_facts(tables, product, fact.withColumn("unit", F.lit("x")))),
-        )
-        for name, frame in found:
-            row = frame.agg(F.count("*").alias("offenders")).select(F.lit(product).alias("product"), F.lit(name).alias("contract"), "offenders")
-            out = row if out is None else out.unionByName(row)
-    return out
-
-
-@query("""SELECT * FROM (VALUES ('cf571303ddf88ca63ad582177cf916e977e32398ccfe3d9b8b1adee40823c1ea', '081f838e335128cc035c6ae244a5cd6b644df1c669f2554143630548282a29b9',
-'0cf68bb04435dfa4e25cd2f9fd45c91cc9ae3c3a98873778e60c6ef882806f21')) AS v(logical_key, content_hash, content_id)""")
-def normalized_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published identities of one price observation."""
-    return normalize.normalize("lmp", scenario.source_frame(spark, "lmp", "10"), scenario.PROVENANCE).select("logical_key", "content_hash", "content_id")
-
-
 @query("""SELECT o_orderkey, CASE WHEN p = 0 THEN '0' ELSE rtrim(rtrim(CAST(p AS VARCHAR), '0'), '.') END AS canonical FROM (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(38,9)) AS p FROM orders)""")
 def canonical_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimals as canonical text."""
@@ -134,9 +80,41 @@ def market_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", timez.utc_text(ts).alias("utc"), day.alias("market_date"), hour.cast("bigint").alias("hour_of_day"))
 
 
-@query("""SELECT product, requested_date, run_count, succeeded_run_count, failed_run_count FROM (VALUES
-('lmp', DATE '2025-08-01', 1::BIGINT, 1::BIGINT, 0::BIGINT), ('lmp', DATE '2026-08-01', 7, 4, 1), ('load', DATE '2025-08-01', 1, 1, 0), ('load', DATE '2026-08-01', 7, 4, 1))
-AS v(product, requested_date, run_count, succeeded_run_count, failed_run_count)""")
-def scenario_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingestion health of the revision story; the load's null location is one group."""
-    return models.ingestion_health(scenario.build(spark, "late")).select("product", "requested_date", "run_count", "succeeded_run_count", "failed_run_count")
+# The value of each state at each hour, backward from the last one, over all states that whole steps reach.
+_DISPATCH = _PRICES.replace("WITH e AS", "WITH RECURSIVE e AS", 1) + """, n AS (SELECT unnest(generate_series(0, 25)) AS k),
+shifts AS (SELECT a.k * 0.95 - b.k / 0.95 AS x FROM n a, n b WHERE a.k + b.k <= 25),
+states AS (SELECT DISTINCT round(least(4, greatest(0, g + sign * x)), 10) AS s FROM shifts, (VALUES (0.0::DOUBLE), (4.0), (2.0)) AS v(g), (VALUES (1), (-1)) AS w(sign) WHERE g + sign * x BETWEEN -1e-9 AND 4 + 1e-9),
+steps AS MATERIALIZED (SELECT f.s AS here, t.s AS there, greatest(f.s - t.s, 0) * 0.95 - greatest(t.s - f.s, 0) / 0.95 AS sold FROM states f, states t WHERE t.s - f.s BETWEEN -1 / 0.95 - 1e-9 AND 0.95 + 1e-9),
+hourly AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY market_date ORDER BY h) AS k FROM prices),
+days AS (SELECT market_date, count(*) AS interval_count, min(lmp) AS low, max(lmp) AS high FROM hourly GROUP BY 1),
+worth AS (
+  SELECT market_date, interval_count AS k, 2.0::DOUBLE AS s, 0.0::DOUBLE AS v FROM days
+  UNION ALL
+  SELECT w.market_date, w.k - 1, t.here, max(w.v + p.lmp * t.sold) FROM worth w JOIN hourly p ON p.market_date = w.market_date AND p.k = w.k JOIN steps t ON t.there = w.s WHERE w.k > 0 GROUP BY 1, 2, 3
+), best AS (SELECT d.market_date, interval_count, low, high, round(w.v, 4) + 0.0 AS value FROM days d JOIN worth w ON w.market_date = d.market_date AND w.k = 0 AND w.s = 2)
+"""
+
+
+@query(_DISPATCH + """SELECT 'TH_NP15_GEN-APND' AS location, market_date, interval_count, round(low, 5) AS minimum_price, round(high, 5) AS maximum_price, value AS objective_usd,
+value AS value_of_vectors, true AS vectors_hold FROM best""")
+def battery_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best dispatch of each day: its objective, the same from its vectors, and whether these break no rule."""
+    prices = hourly_prices(spark, sf_dir)
+    given = prices.groupBy("location", "market_date").agg(F.transform(F.array_sort(F.collect_list(F.struct("interval_start_utc", F.col("lmp").cast("double").alias("p")))), lambda x: x["p"]).alias("prices"))
+    days = dispatch.dispatch_days(prices, REFERENCE).join(given, ["location", "market_date"])
+    worth = F.aggregate(F.zip_with(F.col("prices"), F.zip_with("discharge_mw", "charge_mw", lambda d, c: d - c), lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
+    broken = dispatch.broken_days(days, REFERENCE).select("location", "market_date", F.lit(False).alias("held"))
+    return days.join(broken, ["location", "market_date"], "left").select(
+        "location", "market_date", "interval_count", F.round("minimum_price", 5).alias("minimum_price"), F.round("maximum_price", 5).alias("maximum_price"),
+        (F.round("objective_usd", 4) + 0.0).alias("objective_usd"), (F.round(worth, 4) + 0.0).alias("value_of_vectors"), F.coalesce("held", F.lit(True)).alias("vectors_hold"),
+    )
+
+
+@query(_DISPATCH + """SELECT count(*) AS days, round(sum(value), 2) AS total_gross_arbitrage_value_usd, round(avg(value), 2) AS average_daily_gross_value_usd,
+round(median(value), 2) AS median_daily_gross_value_usd, arg_min(market_date, (-value, market_date)) AS best_day, arg_min(market_date, (value, market_date)) AS worst_day, true AS shares_are_whole FROM best""")
+def battery_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row over all days of the benchmark."""
+    days = dispatch.day_metrics(dispatch.dispatch_days(hourly_prices(spark, sf_dir), REFERENCE), REFERENCE)
+    whole = F.abs(F.col("charging_percent") + F.col("discharging_percent") + F.col("idle_percent") - 100) < 1e-6
+    money = [F.round(c, 2).alias(c) for c in ("total_gross_arbitrage_value_usd", "average_daily_gross_value_usd", "median_daily_gross_value_usd")]
+    return dispatch.totals(days).select(F.col("day_count").alias("days"), *money, "best_day", "worst_day", whole.alias("shares_are_whole"))

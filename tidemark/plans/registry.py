@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import market, relational
+from tidemark.plans import generated, market, relational
 
-_MODULES = (relational, market)
+_MODULES = (relational, market, generated)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -447,10 +447,10 @@ def day_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.join(present, "day", "left").select("day", "expected", F.coalesce("present", F.lit(0)).alias("present"))
 
 
-@query("""SELECT CAST(d AS DATE) AS day, product, location FROM unnest(generate_series(TIMESTAMP '2026-08-01', TIMESTAMP '2026-08-03', INTERVAL 1 DAY)) AS t(d),
+@query("""SELECT CAST(d AS DATE) AS day, product, location FROM (SELECT CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS z FROM events), unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS t(d),
 (VALUES ('lmp', 'TH_NP15_GEN-APND'), ('lmp', 'TH_SP15_GEN-APND'), ('load', '')) AS v(product, location)""")
 def backfill_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inclusive dates by products and hubs."""
-    days = spark.range(1).select(F.explode(F.expr("sequence(date'2026-08-01', date'2026-08-03')")).alias("day"))
+    """Inclusive dates of the log by products and hubs."""
+    days = _table(spark, sf_dir, "events").agg(F.min("ts").cast("date").alias("a"), F.max("ts").cast("date").alias("z")).select(F.explode(F.sequence("a", "z")).alias("day"))
     units = F.array(*[F.struct(F.lit(p).alias("product"), F.lit(h).alias("location")) for p, h in (("lmp", "TH_NP15_GEN-APND"), ("lmp", "TH_SP15_GEN-APND"), ("load", ""))])
     return days.select("day", F.inline(units))
