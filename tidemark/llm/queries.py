@@ -59,6 +59,16 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of ``op2_url_filter``: host, path and the rule of each URL."""
+    return op2_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
+def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of ``op6_fertility``: the base counts of each document."""
+    return op6_fertility(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -70,9 +80,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_sentencepiece": op10_sentencepiece,
+    "url_rules": url_rules,
+    "base_counts": base_counts,
 }
 
 ORACLES: dict[str, str] = {
+    "url_rules": r"""
+WITH parts AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+cut AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules AS (SELECT * FROM (VALUES ('net', '/'), ('example.net', '/en/'), ('example.com', '/de/'), ('org', '/fr/')) AS v(h, p))
+SELECT page_id, host, path, (SELECT arg_max(h || p, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule FROM cut
+""",
+    "base_counts": r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT k, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+windows AS (SELECT k, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM w, unnest(generate_series(1, len(w) - 2)) AS t(i)),
+twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, a, b, c) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT k, count(DISTINCT p) AS n FROM twice, unnest([i, i + 1, i + 2]) AS t(p) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) AS base_failed
+FROM w LEFT JOIN covered USING (k)
+""",
     "op4_chat_format": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
