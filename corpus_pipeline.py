@@ -2,7 +2,12 @@
 
 Each stage gets what the one before it kept and returns documents again, the last one their token ids.
 Between stages the rows are written as Parquet to the shared checkpoint folder, so a lost executor costs
-no more than the stage that was running.
+no more than the stage that was running, and a named run that stopped goes on at that stage.
+
+Defined results: a null or empty text is no toxicity, one group of near-duplicates with all others, no benchmark
+passage, unchanged by pseudonyms, and no tokens. Repeated rows, and rows with one text, are near-duplicates, so
+one of them stays: that with the smallest id, no id last. An empty table gives none. Further columns are kept by
+all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -56,12 +61,37 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
+#: Names a run. A run of a name takes up what an earlier one of that name has finished; without one, all is new.
+RUN_SETTING = "spark.tidemark.pipeline.run"
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs.write.parquet(path := f"{folder}/{k}-{name}")
-            docs = spark.read.parquet(path)
-    return docs
+    """Every stage on what the one before it kept, written to the shared folder in between.
+
+    A stage's folder goes when the next stage has been written, but for the last of them, which the result reads;
+    that one is the caller's to delete (``corpus-*`` in the checkpoint folder)."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{spark.conf.get(RUN_SETTING, '') or uuid.uuid4().hex}"
+    paths = [f"{folder}/{k}-{name}" for k, (name, _) in enumerate(STAGES[:-1])]
+    done = max((k for k, path in enumerate(paths) if _exists(spark, f"{path}/_SUCCESS")), default=-1)
+    docs = table(spark, sf_dir, "documents") if done < 0 else spark.read.parquet(paths[done])
+    for k in range(done + 1, len(paths)):
+        STAGES[k][1](spark, docs, sf_dir).write.mode("overwrite").parquet(paths[k])
+        docs = spark.read.parquet(paths[k])
+        if k:
+            _delete(spark, paths[k - 1])
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
