@@ -109,3 +109,24 @@ def test_query_places_whole_rows_and_splits_hot_keys(spark, sf, tmp_path):
         parts = Counter(r.slot for r in rows if r.doc_id == key)
         assert len(parts) == 2 and max(parts.values()) < 900
     assert all(r.slot == brute_slot(r.doc_id) for r in rows if r.doc_id not in (None, -5))
+
+
+def test_many_split_keys_are_joined_without_a_broadcast(spark, monkeypatch):
+    """Beyond the bound the keys' counts are joined by key, with the same shards."""
+    from tidemark.llm import common
+
+    rows = [(k % 7 if k % 3 else None, f"t{k % 50}", k) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, slot int")
+    names = [f"s{k}" for k in range(5)]
+
+    def placed():
+        return sharding.place(docs, "doc_id", names, slots=101, split_rows=20, split_by="text")
+
+    one = sorted(map(str, placed().collect()))
+    monkeypatch.setattr(common, "MOST_BROADCAST", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        two = placed()
+        assert sorted(map(str, two.collect())) == one and len(one) == 600
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

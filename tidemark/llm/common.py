@@ -53,6 +53,17 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Rows of a few numbers or short texts that a broadcast may have.
+MOST_BROADCAST = 1_000_000
+
+
+def broadcast_if_small(frame: DataFrame, most: int | None = None) -> DataFrame:
+    """The frame, marked for broadcast only if its rows have been counted and are no more than ``most``. Beyond that
+    Spark joins it by its keys. What is costly to work out twice should come from a checkpoint."""
+    most = MOST_BROADCAST if most is None else most
+    return F.broadcast(frame) if frame.limit(most + 1).count() <= most else frame
+
+
 def bytes_of(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column; Arrow holds them already, so nothing is re-encoded."""
     if pa.types.is_large_string(column.type):

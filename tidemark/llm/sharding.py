@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
+from tidemark.llm.common import broadcast_if_small, fresh
 
 #: A prime, so that every skip visits every slot.
 SLOTS = 65_537
@@ -84,10 +84,10 @@ def place(docs: DataFrame, key: str, shards: list[str], slots: int = SLOTS, turn
     slot = slot_of(F.col(key), slots)
     if split_rows is None:
         return docs.select(*rest, slot.alias("slot")).join(table, "slot").select(*rest, "slot", "shard")
-    # A row for each key of more than split_rows rows: at most rows / split_rows of them.
+    # A row for each key of more than split_rows rows: few as a rule, which is checked before they are broadcast.
     given, parts = fresh(docs, "__key", "__parts")
     large = docs.groupBy(F.col(key).alias(given)).count().where(F.col("count") > split_rows).select(given, F.ceil(F.col("count") / split_rows).cast("int").alias(parts))
     part = F.pmod(F.xxhash64(F.col(split_by)), F.coalesce(parts, F.lit(1)))
     spread = F.pmod(slot + F.when(part == 0, 0).otherwise(F.pmod(F.xxhash64(F.col(key), part), F.lit(slots))), F.lit(slots)).cast("int")
-    joined = docs.join(F.broadcast(large), F.col(key).eqNullSafe(F.col(given)), "left").select(*rest, spread.alias("slot"))
+    joined = docs.join(broadcast_if_small(large), F.col(key).eqNullSafe(F.col(given)), "left").select(*rest, spread.alias("slot"))
     return joined.join(table, "slot").select(*rest, "slot", "shard")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, annotate, bytes_of, fresh
+from tidemark.llm.common import LOWER, annotate, broadcast_if_small, bytes_of, fresh
 from tidemark.llm.components import components
 from tidemark.llm.vptree import spanning_links
 from tidemark.session import ensure_checkpoint_dir
@@ -123,14 +123,14 @@ def shard_routes(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, leve
 def links(points: DataFrame, most: int = MOST, blocks: int = BLOCKS, levels: int | None = None, cell_points: int = CELL) -> DataFrame:
     """Links (a, b) between distinct fingerprints that connect all that lie within ``most`` bits."""
     routes = shard_routes(points, most, blocks, levels or levels_for(points.count(), cell_points))
-    # A shard beyond cell_points is a row here, so there are at most rows / cell_points: broadcast is safe.
+    # A shard beyond cell_points is a row here: few as a rule, which is checked before they are broadcast.
     large = routes.groupBy("block", "cell").count().where(F.col("count") > cell_points).select("block", "cell", F.ceil(F.col("count") * 2 / cell_points).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
     # Each part meets each other in one task and itself in all of its own, so every pair meets.
     tasks = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda t: F.least(part, t) * F.col("parts") + F.greatest(part, t))
     )
-    dealt = routes.join(F.broadcast(large), ["block", "cell"], "left").withColumn("task", F.explode(tasks)).select("block", "cell", "task", "fingerprint", "home")
+    dealt = routes.join(broadcast_if_small(large.checkpoint()), ["block", "cell"], "left").withColumn("task", F.explode(tasks)).select("block", "cell", "task", "fingerprint", "home")
     masks = _masks(blocks)
 
     def of_shard(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
