@@ -160,18 +160,21 @@ def train(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.n
         return Model(_logit(0.0))
     if labels.min() == labels.max():
         return Model(_logit(labels[0]))
+    # A sample has some ten million entries; four bytes each keep the driver small.
     sizes = np.array([len(b) for b, _ in rows])
-    owner, bucket = np.repeat(np.arange(len(rows)), sizes), np.concatenate([b for b, _ in rows])
+    owner, bucket = np.repeat(np.arange(len(rows), dtype=np.int32), sizes), np.concatenate([b for b, _ in rows]).astype(np.int32, copy=False)
     docs = np.bincount(bucket, minlength=BUCKETS)
-    hits = np.bincount(bucket, weights=labels[owner], minlength=BUCKETS)
+    hits = np.bincount(bucket[labels[owner] == 1], minlength=BUCKETS)
     rate = labels.mean()
     telling = np.abs(hits - docs * rate) / np.sqrt(np.maximum(docs, 1) * rate * (1 - rate))
     telling[(docs < LEAST_DOCS) | (telling < TELLING)] = 0
     chosen = np.flatnonzero(telling > 0)
-    number = np.full(BUCKETS, -1)
+    number = np.full(BUCKETS, -1, np.int32)
     number[chosen] = np.arange(len(chosen))
-    inside = number[bucket] >= 0
-    owner, column = owner[inside], number[bucket[inside]]
+    column = number[bucket]
+    inside = column >= 0
+    owner, column = owner[inside], column[inside]
+    del bucket, inside
     lost = [(k, number[b], -1.0) for k, (gone, new) in enumerate(pairs) for b in gone if number[b] >= 0]
     gained = [(k, number[b], 1.0) for k, (gone, new) in enumerate(pairs) for b in new if number[b] >= 0]
     swaps = np.array(lost + gained, np.float64).reshape(-1, 3)
