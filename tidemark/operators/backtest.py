@@ -106,15 +106,26 @@ def report(prices: DataFrame, days: DataFrame, totals: DataFrame, battery: Batte
     return json.dumps(body, default=str, indent=2, allow_nan=False)
 
 
-def figure(day, path: str) -> None:
-    """Prices, power and state of charge of a solved day (a row of days with ``prices``) as an HTML page
+#: Panels of a day: what they show, in which unit, and from which columns.
+PANELS = (("Price", "USD/MWh", lambda d: d["prices"]), ("Power, charging below zero", "MW", lambda d: [y - x for x, y in zip(d["charge_mw"], d["discharge_mw"], strict=True)]), ("State of charge", "MWh", lambda d: d["soc_mwh"]))
+
+
+def _panel(title: str, unit: str, values: list[float]) -> str:
+    low, high = min(0, *values), max(0, *values)
+    span = (high - low) or 1
+
+    def y(value: float) -> float:
+        return 140 - 120 * (value - low) / span
+
+    points = " ".join(f"{90 + 670 * k / max(1, len(values) - 1):.1f},{y(v):.1f}" for k, v in enumerate(values))
+    marks = "".join(f'<text x="84" y="{y(v) + 4:.1f}" text-anchor="end">{v:.2f} {unit}</text>' for v in dict.fromkeys((low, 0.0, high)))
+    hours = "".join(f'<text x="{90 + 670 * k / max(1, len(values) - 1):.1f}" y="158" text-anchor="middle">{k}</text>' for k in range(0, len(values), 6))
+    return f'<h3>{title} ({unit})</h3><svg viewBox="0 0 780 164" font-size="11"><line x1="90" x2="760" y1="{y(0):.1f}" y2="{y(0):.1f}" stroke="#bbb"/><polyline fill="none" stroke="#26547c" stroke-width="2" points="{points}"/>{marks}{hours}</svg>'
+
+
+def figure(days: list[dict], path: str) -> None:
+    """Prices, power and state of charge of each solved day (a row of days with ``prices``) by hour, as an HTML page
     with one SVG panel each; needs no chart library."""
-    panels = []
-    for title, values in (("Price, USD/MWh", day["prices"]), ("Power, MW (charge below zero)", [d - c for c, d in zip(day["charge_mw"], day["discharge_mw"], strict=True)]), ("State of charge, MWh", day["soc_mwh"])):
-        low, high = min(0, *values), max(0, *values)
-        span = (high - low) or 1
-        points = " ".join(f"{60 + 700 * k / max(1, len(values) - 1):.1f},{140 - 120 * (v - low) / span:.1f}" for k, v in enumerate(values))
-        zero = 140 + 120 * low / span
-        panels.append(f'<h2>{title}</h2><svg viewBox="0 0 780 160"><line x1="60" x2="760" y1="{zero:.1f}" y2="{zero:.1f}" stroke="#bbb"/><polyline fill="none" stroke="#26547c" stroke-width="2" points="{points}"/><text x="4" y="24">{high:.2f}</text><text x="4" y="144">{low:.2f}</text></svg>')
+    parts = [f"<h2>{d['location']} {d['market_date']}: {d['objective_usd']:.2f} USD</h2>" + "".join(_panel(title, unit, list(of(d))) for title, unit, of in PANELS) for d in days]
     with open(path, "w", encoding="utf-8") as file:
-        file.write(f"<!DOCTYPE html><meta charset='utf-8'><title>Battery dispatch {day['market_date']}</title><h1>{day['location']} {day['market_date']}</h1>{''.join(panels)}")
+        file.write(f"<!DOCTYPE html><meta charset='utf-8'><title>Battery dispatch</title>{''.join(parts)}")
