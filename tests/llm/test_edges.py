@@ -35,7 +35,7 @@ def test_odd_and_empty_tables(spark, places, name):
     odd, empty = places
     got = query(spark, odd)
     rows = got.count()
-    source = {"op2_url_filter": "pages"}.get(name, "documents")
+    source = {"op2_url_filter": "pages", "url_rules": "pages"}.get(name, "documents")
     if name == "op4_chat_format":
         assert rows == spark.read.parquet(f"{odd}/conversations.parquet").select("conv_id").distinct().count() + 1
     elif name == "pipeline":
