@@ -24,6 +24,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache, lru_cache
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +84,7 @@ BANDS: dict[str, dict[str, Band]] = {
 
 #: How the names of a script's letters begin.
 _SCRIPTS = {"LATIN": "Latin", "GREEK": "Greek", "CYRILLIC": "Cyrillic", "CJK": "Han", "IDEOGRAPHIC": "Han", "HIRAGANA": "Japanese", "KATAKANA": "Japanese", "HANGUL": "Hangul", "ARABIC": "Arabic", "HEBREW": "Hebrew", "DEVANAGARI": "Devanagari", "THAI": "Thai", "TAMIL": "Tamil", "ARMENIAN": "Armenian"}
-_ASCII_LETTER, _BEYOND = re.compile(r"[A-Za-z]"), re.compile(r"[^\x00-\x7f]")
+_ASCII_LETTERS, _BEYOND = ascii_letters.encode(), re.compile(r"[^\x00-\x7f]")
 
 
 @lru_cache(maxsize=1 << 16)
@@ -96,7 +97,8 @@ def script(text: str) -> str:
     """The script of most letters; Latin if there are none."""
     if text.isascii():
         return "Latin"
-    counts = Counter({"Latin": len(_ASCII_LETTER.findall(text))})
+    plain = text.encode("ascii", "ignore")
+    counts = Counter({"Latin": len(plain) - len(plain.translate(None, _ASCII_LETTERS))})
     for letter, n in Counter(_BEYOND.findall(text)).items():
         if letter.isalpha():
             counts[_script_of(letter)] += n
@@ -140,7 +142,7 @@ class Vocabulary:
         while at < len(text):
             edge = _EDGE.search(text, at + STRETCH) if len(text) - at > STRETCH else None
             end = edge.start() if edge else len(text)
-            yield np.asarray(self.encoding.encode_to_numpy(text[at:end] if end - at < len(text) else text, disallowed_special=()))
+            yield np.array(self.encoding.encode_ordinary(text[at:end] if end - at < len(text) else text), np.uint32)
             at = end
 
     def measures(self, text: str) -> tuple[float, float, float]:
