@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontam, fertility, langid, pii, piece, sharding, simhash, toxicity, urlfilter
+from tidemark.llm import centroids, chat, debruijn, decontam, fertility, langid, pii, piece, sharding, simhash, toxicity, urlfilter, whitening
 from tidemark.llm.common import table
 
 
@@ -59,6 +59,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can say of ``op2_url_filter``: host, path and the rule of each URL."""
     return op2_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule")
@@ -80,11 +92,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_debruijn": op11_debruijn,
+    "op12_whitening": op12_whitening,
+    "op13_centroids": op13_centroids,
     "url_rules": url_rules,
     "base_counts": base_counts,
 }
 
+def _lloyd_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Lloyd's algorithm over all rows, a pair of common tables for each round."""
+    assign = """a{k} AS MATERIALIZED (
+  SELECT id, c, dist FROM (SELECT id, c, dist, row_number() OVER (PARTITION BY id ORDER BY dist, c) AS r FROM (
+    SELECT e.id, m.c, CAST(sum((e.v - m.v) * (e.v - m.v)) AS BIGINT) AS dist FROM entries e JOIN c{k} m ON e.j = m.j GROUP BY e.id, m.c)) WHERE r = 1
+)"""
+    move = """c{next} AS MATERIALIZED (
+  SELECT m.c, m.j, coalesce(n.v, m.v) AS v FROM c{k} m LEFT JOIN (
+    SELECT a.c, e.j, CAST((sum(e.v) - ((sum(e.v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v FROM a{k} a JOIN entries e ON a.id = e.id GROUP BY a.c, e.j
+  ) n ON m.c = n.c AND m.j = n.j
+)"""
+    steps = ",\n".join(f"{assign.format(k=k)},\n{move.format(k=k, next=k + 1)}" for k in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), entries AS MATERIALIZED (SELECT id, j, v[j] AS v FROM kept, unnest(generate_series(1, 64)) AS t(j)),
+c0 AS MATERIALIZED (
+  SELECT c, j, v[j] AS v FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM kept QUALIFY c < 8), unnest(generate_series(1, 64)) AS t(j)
+),
+{steps},
+{assign.format(k=rounds)},
+sums AS (SELECT c, CAST(sum(dist) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY c),
+digests AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, a.dist AS distance, s.cluster_inertia, (SELECT CAST(sum(dist) AS BIGINT) FROM a{rounds}) AS inertia, d.centroid_sha256
+FROM kept k JOIN a{rounds} a USING (id) JOIN sums s USING (c) JOIN digests d USING (c)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_debruijn": r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (SELECT k, i, md5(array_to_string(w[i : i + 34], ' ')) AS t FROM d, unnest(generate_series(1, len(w) - 34)) AS u(i)),
+repeated AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY t) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT DISTINCT k, p FROM repeated, unnest(generate_series(i, i + 34)) AS u(p)),
+words AS (SELECT k, p, w[p] AS word FROM d, unnest(generate_series(1, len(w))) AS u(p)),
+stay AS (SELECT k, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM words ANTI JOIN covered USING (k, p) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN stay USING (k)
+""",
+    "op13_centroids": _lloyd_sql(),
     "url_rules": r"""
 WITH parts AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 cut AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
