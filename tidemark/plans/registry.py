@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import generated, market, relational
+from tidemark.plans import generated, market, relational, series
 
-_MODULES = (relational, market, generated)
+_MODULES = (relational, market, generated, series)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
