@@ -82,7 +82,7 @@ def backtest(prices: DataFrame, first: date, last: date, location: str, battery:
     plan = requests(first, last, location)
     if battery.initial_soc_mwh != battery.terminal_soc_mwh:
         raise ValidationError("a daily benchmark ends each day with the state it began with")
-    days = dispatch.day_metrics(dispatch.dispatch_days(checked_inputs(prices, plan), battery), battery)
+    days = dispatch.day_metrics(dispatch.dispatch_days(checked_inputs(prices, plan), battery).drop("prices"), battery)
     return days, dispatch.totals(days)
 
 

@@ -99,17 +99,30 @@ worth AS (
 value AS value_of_vectors, true AS vectors_hold FROM best""")
 def battery_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best dispatch of each day: its objective, the same from its vectors, and whether these break no rule."""
-    prices = hourly_prices(spark, sf_dir)
-    given = prices.groupBy("location", "market_date").agg(F.transform(F.array_sort(F.collect_list(F.struct("interval_start_utc", F.col("lmp").cast("double").alias("p")))), lambda x: x["p"]).alias("prices"))
-    days = dispatch.dispatch_days(prices, REFERENCE).join(given, ["location", "market_date"])
+    days = dispatch.judged_days(dispatch.dispatch_days(hourly_prices(spark, sf_dir), REFERENCE), REFERENCE)
     worth = F.aggregate(F.zip_with(F.col("prices"), F.zip_with("discharge_mw", "charge_mw", lambda d, c: d - c), lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-    broken = dispatch.broken_days(days, REFERENCE).select("location", "market_date", F.lit(False).alias("held"))
-    return days.join(broken, ["location", "market_date"], "left").select(
+    return days.select(
         "location", "market_date", "interval_count", F.round("minimum_price", 5).alias("minimum_price"), F.round("maximum_price", 5).alias("maximum_price"),
-        (F.round("objective_usd", 4) + 0.0).alias("objective_usd"), (F.round(worth, 4) + 0.0).alias("value_of_vectors"), F.coalesce("held", F.lit(True)).alias("vectors_hold"),
+        (F.round("objective_usd", 4) + 0.0).alias("objective_usd"), (F.round(worth, 4) + 0.0).alias("value_of_vectors"), (F.size("broken") == 0).alias("vectors_hold"),
     )
 
 
+@query(_PRICES + """SELECT DISTINCT market_date, (['none', 'length', 'ends', 'state', 'power', 'balance', 'value'])[day(market_date) % 7 + 1] AS rule, true AS named, day(market_date) % 7 = 0 AS held FROM prices""")
+def battery_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dispatches spoiled in one way a day: each breaks the rule that it was spoiled for, and what was left alone holds."""
+    days, kind = dispatch.dispatch_days(hourly_prices(spark, sf_dir), REFERENCE), F.dayofmonth("market_date") % 7
+
+    def first(name: str, by: float):
+        return F.concat(F.array(F.element_at(name, 1) + by), F.slice(name, 2, F.size(name)))
+
+    soc = F.when(kind == 1, F.slice("soc_mwh", 2, F.size("soc_mwh"))).when(kind == 2, first("soc_mwh", 0.5)).when(kind == 3, F.transform("soc_mwh", lambda x: x + 5)).otherwise(F.col("soc_mwh"))
+    charge = F.when(kind == 4, first("charge_mw", 2.0)).when(kind == 5, first("charge_mw", 0.001)).otherwise(F.col("charge_mw"))
+    gross = F.col("gross_arbitrage_value_usd") + F.when(kind == 6, 1).otherwise(0)
+    judged = dispatch.judged_days(days.withColumns({"soc_mwh": soc, "charge_mw": charge, "gross_arbitrage_value_usd": gross}), REFERENCE)
+    rule = F.element_at(F.array(*map(F.lit, ("none", "length", "ends", "state", "power", "balance", "value"))), (kind + 1).cast("int"))
+    return judged.select("market_date", rule.alias("rule"), F.when(kind == 0, F.lit(True)).otherwise(F.array_contains("broken", rule)).alias("named"), (F.size("broken") == 0).alias("held"))
+
+
 @query(_DISPATCH + """SELECT count(*) AS days, round(sum(value), 2) AS total_gross_arbitrage_value_usd, round(avg(value), 2) AS average_daily_gross_value_usd,
 round(median(value), 2) AS median_daily_gross_value_usd, arg_min(market_date, (-value, market_date)) AS best_day, arg_min(market_date, (value, market_date)) AS worst_day, true AS shares_are_whole FROM best""")
 def battery_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
