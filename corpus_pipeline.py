@@ -12,13 +12,15 @@ all stages but the last, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontam, pii, piece, simhash, toxicity
 from tidemark.llm.common import table
+from tidemark.schemas import VERSION
 from tidemark.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -61,7 +63,8 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
-#: Names a run. A run of a name takes up what an earlier one of that name has finished; without one, all is new.
+#: Names a run. A run of a name takes up what an earlier one of that name has finished over the same input, key
+#: and stages; without a name, all is new.
 RUN_SETTING = "spark.tidemark.pipeline.run"
 
 
@@ -70,7 +73,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A stage's folder goes when the next stage has been written, but for the last of them, which the result reads;
     that one is the caller's to delete (``corpus-*`` in the checkpoint folder)."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{spark.conf.get(RUN_SETTING, '') or uuid.uuid4().hex}"
+    name = spark.conf.get(RUN_SETTING, "")
+    name = f"{name}-{fingerprint(spark, sf_dir)}" if name else uuid.uuid4().hex
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{name}"
     paths = [f"{folder}/{k}-{name}" for k, (name, _) in enumerate(STAGES[:-1])]
     done = max((k for k, path in enumerate(paths) if _exists(spark, f"{path}/_SUCCESS")), default=-1)
     docs = table(spark, sf_dir, "documents") if done < 0 else spark.read.parquet(paths[done])
@@ -82,6 +87,23 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of all that a run's result follows from: the input's files with their sizes and times, the key, the
+    stages and the version of this package. A named run over anything else has another folder, and finds nothing to go on with."""
+    said = [VERSION, hashlib.sha256(pii.key_of(spark)).hexdigest(), *(name for name, _ in STAGES)]
+    for read in ("documents", "labels", "benchmark"):
+        said += sorted(_files(spark, f"{sf_dir}/{read}.parquet"))
+    return hashlib.sha256("\n".join(said).encode()).hexdigest()[:24]
+
+
+def _files(spark: SparkSession, path: str) -> Iterator[str]:
+    fs, place = _file_system(spark, path)
+    found = fs.listFiles(place, True)
+    while found.hasNext():
+        status = found.next()
+        yield f"{status.getPath()} {status.getLen()} {status.getModificationTime()}"
+
+
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place

@@ -115,3 +115,13 @@ def test_sample_is_of_whole_texts(spark):
     places = sorted(int(x[x.index(b"<") + 1 :][:6]) for x in xs)
     assert [sum(a <= p < a + 10_000 for p in places) > 40 for a in range(0, 40_000, 10_000)] == [True] * 4
     assert sorted(bytes(r.window).decode() for r in got if r.lang == "yy") == sorted(f"short {d - 100}" for d in learned if 100 <= d < 200)
+
+
+def test_repeated_ids_lose_no_language(spark):
+    """A language whose rows all share one id, and one whose rows are copies of one row, are learned like others."""
+    rows = [(n, f"the {n} and that of", "en", 1) for n in range(3000)]
+    for doc_id in (1, 2, 3, 4):
+        own = [(doc_id, f"mot {n} et ce de la", "fr", 1) for n in range(5000)] + [(doc_id, "una sola riga", "it", 1)] * 5000
+        sample = langid.training_sample(spark.createDataFrame(rows + own, DOCS).repartition(8), 300)
+        found = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+        assert found == {"en": 300, "fr": 300, "it": 1}

@@ -110,3 +110,23 @@ def test_run(spark, sf, tmp_path):
     finally:
         corpus_pipeline.STAGES[:] = original
         spark.conf.unset(corpus_pipeline.RUN_SETTING)
+
+
+def test_a_name_with_another_input(spark, sf, tmp_path):
+    """One name over two inputs, or over one that has changed meanwhile, answers for the input given."""
+    import shutil
+
+    small = tmp_path / "small"
+    small.mkdir()
+    for name in ("labels", "benchmark"):
+        shutil.copy(f"{sf}/{name}.parquet", small)
+    spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").write.parquet(f"{small}/documents.parquet")
+    spark.conf.set(corpus_pipeline.RUN_SETTING, f"two-{tmp_path.name}-{time.time_ns()}")
+    try:
+        all_of_it = corpus_pipeline.run(spark, sf).count()
+        assert 0 < corpus_pipeline.run(spark, str(small)).count() <= 60 < all_of_it == corpus_pipeline.run(spark, sf).count()
+        before = corpus_pipeline.fingerprint(spark, str(small))
+        spark.read.parquet(f"{sf}/documents.parquet").where("doc_id >= 60").write.mode("append").parquet(f"{small}/documents.parquet")
+        assert corpus_pipeline.fingerprint(spark, str(small)) != before and corpus_pipeline.run(spark, str(small)).count() == all_of_it
+    finally:
+        spark.conf.unset(corpus_pipeline.RUN_SETTING)

@@ -183,24 +183,27 @@ class Applied:
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """window (bytes) and lang of the windows with the smallest hashes in each language, folds but 0 only.
 
-    Windows are numbered where the texts lie and drawn by the hash of document and number, against a bound that
-    follows from the language's count of windows: so only about twice the windows wanted are cut out and ranked,
-    and neither a language with most rows nor one very long text makes that step larger.
+    Rows of one language, id and text are one document. Windows are numbered where the texts lie and drawn by the
+    hash of id, text and number, against a bound that follows from the language's count of distinct windows: so about
+    twice the windows wanted are cut out and ranked, and neither a language with most rows, nor a text with very many copies, nor
+    one very long text makes that step larger or leaves a language out.
     """
     step = WINDOW - WIDTHS[-1] + 1
-    able = docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", F.col("text").cast("binary").alias("bytes"))
+    able = docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    able = able.select("doc_id", "lang", F.xxhash64("text").alias("of"), F.col("text").cast("binary").alias("bytes"))
     windows = F.greatest(F.lit(1), F.ceil((F.length("bytes") - (WINDOW - step)) / step)).cast("int")
-    counts = able.groupBy("lang").agg(F.sum(windows.cast("bigint")).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    single = able.select("lang", "doc_id", "of", windows.alias("n")).distinct()
+    counts = single.groupBy("lang").agg(F.sum(F.col("n").cast("bigint")).alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"at most {MOST_LANGUAGES} languages")
     # The bound of each language is an expression, so the draw needs no join.
     bound = F.lit(None).cast("bigint")
     for r in counts:
         bound = F.when(F.col("lang") == r.lang, F.lit(largest(per_language, r.n))).otherwise(bound)
-    drawn = F.filter(F.sequence(F.lit(0), windows - 1), lambda k: F.xxhash64("doc_id", k) <= F.col("bound"))
-    cut_out = able.withColumn("bound", bound).select("doc_id", "lang", "bytes", F.explode(drawn).alias("k"))
-    picked = cut_out.select("lang", F.xxhash64("doc_id", "k").alias("hash"), "doc_id", "k", F.substring("bytes", F.col("k") * step + 1, F.lit(WINDOW)).alias("window"))
-    rank = W.partitionBy("lang").orderBy("hash", "doc_id", "k", "window")
+    drawn = F.filter(F.sequence(F.lit(0), windows - 1), lambda k: F.xxhash64("doc_id", "of", k) <= F.col("bound"))
+    cut_out = able.withColumn("bound", bound).select("lang", "doc_id", "of", "bytes", F.explode(drawn).alias("k"))
+    picked = cut_out.select("lang", F.xxhash64("doc_id", "of", "k").alias("hash"), F.substring("bytes", F.col("k") * step + 1, F.lit(WINDOW)).alias("window")).distinct()
+    rank = W.partitionBy("lang").orderBy("hash", "window")
     return picked.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= per_language).select("window", "lang")
 
 

@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, annotate, broadcast_if_small, bytes_of, fresh
@@ -181,6 +180,12 @@ def keep_one(docs: DataFrame, most: int = MOST) -> DataFrame:
     roots = group_roots(least.select("fingerprint"), most)
     labelled = least.join(roots, least.fingerprint == roots.node, "left").select("least", F.coalesce("root", "fingerprint").alias("root"))
     stay = labelled.groupBy("root").agg(F.min("least").alias("s")).select(*[F.col("s")[n].alias(n) for n in names])
-    once = W.partitionBy(*names).orderBy(hash_)
-    kept = docs.select("*", *ident).join(stay, names).withColumn(row, F.row_number().over(once)).where(F.col(row) == 1)
-    return kept.select(*[kept[f"`{c}`"] for c in docs.columns])
+    # Whether rows repeat is told by ids and hashes; their texts are grouped only where they do.
+    stay = stay.join(own.groupBy(*names).agg((F.count("*") > 1).alias(row)), names).checkpoint()
+    kept = docs.select("*", *ident).join(broadcast_if_small(stay), names)
+    if stay.where(row).isEmpty():
+        return kept.select(*[kept[f"`{c}`"] for c in docs.columns])
+    single, several = kept.where(~F.col(row)), kept.where(row)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = several.groupBy(*names).agg(F.first(F.struct(*columns)).alias(row)).select(*[F.col(row)[c].alias(c) for c in docs.columns])
+    return single.select(*columns).unionByName(one)

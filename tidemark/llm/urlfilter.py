@@ -219,13 +219,23 @@ def grow(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES) -> Tre
     return Trees(bias, trees)
 
 
+def training_sample(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Features and label y of at most ``sample`` labelled rows, those with the smallest hashes.
+
+    Rows with one page, host, path and lexical features are one, and the bound of the draw follows from the number of
+    distinct ones: copies stand for as much as a single row does, and neither fill the sample nor leave it empty."""
+    own = ("page_id", "host", "path", *(f for f in FEATURES if f not in ("f_suffix", "f_ending")))
+    order = F.xxhash64(*own)
+    labelled = rows.where(F.col("ruled").isNotNull()).withColumn("hash", order)
+    # The count needs no suffixes' shares; Spark prunes their joins.
+    distinct = labelled.select("hash").distinct().count()
+    drawn = labelled.where(below(F.col("hash"), sample, distinct)).dropDuplicates(["hash"])
+    return drawn.orderBy("hash").limit(sample).select(*FEATURES, (F.col("ruled") == "block").cast("double").alias("y"))
+
+
 def fit(rows: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Trees from at most ``sample`` labelled feature rows, those with the smallest hashes."""
-    order = F.xxhash64("page_id", "host", "path")
-    labelled = rows.where(F.col("ruled").isNotNull())
-    # The count needs neither the features nor the suffixes' shares; Spark prunes both.
-    picked = labelled.where(below(order, sample, labelled.count())).orderBy(order, "page_id", "host", "path", *FEATURES).limit(sample)
-    found = picked.select(*FEATURES, (F.col("ruled") == "block").cast("double").alias("y")).collect()
+    """Trees from a bounded sample of labelled feature rows."""
+    found = training_sample(rows, sample).collect()
     table = np.array([tuple(r) for r in found], np.float64).reshape(-1, len(FEATURES) + 1)
     return grow(table[:, :-1], table[:, -1])
 
