@@ -127,9 +127,9 @@ def test_repeated_pages_lose_no_label(spark):
     """Two pages, one of each label, in very many rows; then one page with very many queries: the sample has them, within its bound."""
     two = [(1, "http://a.net/x", None), (2, "http://b.org/fr/y", None)] * 30_000
     frame = spark.createDataFrame(two, "page_id bigint, url string, html string").repartition(8)
-    rows = urlfilter.with_suffixes(urlfilter.with_features(frame))
-    got = urlfilter.training_sample(rows, 100).collect()
+    rows = u.with_suffixes(u.with_features(frame))
+    got = u.training_sample(rows, 100).collect()
     assert sorted(r.y for r in got) == [0.0, 1.0]
     many = [(1, f"http://a.net/x?q={n}&r={'z' * (n % 97)}", None) for n in range(20_000)]
-    rows = urlfilter.with_suffixes(urlfilter.with_features(spark.createDataFrame(many, "page_id bigint, url string, html string")))
-    assert len(urlfilter.training_sample(rows, 100).collect()) == 100
+    rows = u.with_suffixes(u.with_features(spark.createDataFrame(many, "page_id bigint, url string, html string")))
+    assert len(u.training_sample(rows, 100).collect()) == 100
