@@ -5,6 +5,7 @@ Their keys are few and have very many rows each (event types), which is what win
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from tidemark.operators import asof, hashtree, select, sweep
 from tidemark.operators.scan import Blocks
 from tidemark.plans import generated, models
 from tidemark.schemas import HUBS
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.streaming import changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +77,19 @@ def clamped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Blocks(moves, ["event_type"], ["event_id"]).clamped("move", 0, 2_000_000, 1_000_000).select("event_type", "event_id", "state")
 
 
+@query("""SELECT CAST(user_id AS VARCHAR) AS logical_key, event_type AS content_hash, event_id AS at, CAST(sum(1) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS ordinal FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before IS DISTINCT FROM event_type""")
+def stream_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of each user's latest event type, by a stream with a state for each user."""
+    # A stream's path is a folder or a pattern; this pattern is the table, be it a file or a folder.
+    events = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parque[t]")
+    rows = events.select(F.col("user_id").cast("string").alias("logical_key"), F.col("event_type").alias("content_hash"), F.col("event_id").alias("at"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/changes-{uuid.uuid4().hex}"
+    stream = changes.write(rows, f"{folder}/out", f"{folder}/state")
+    stream.awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 #: Minutes after the first known revisions' day at which decisions are taken.
 _DECIDED = (30, 60, 150, 299, 100_000)
 
