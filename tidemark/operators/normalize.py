@@ -45,8 +45,9 @@ def _number(frame: DataFrame, name: str) -> tuple[Column, Column]:
     return value, F.coalesce(value == column, F.lit(False))
 
 
-def judged(product: str, frame: DataFrame, provenance: dict[str, object]) -> DataFrame:
-    """Observations with identities and an array ``violations`` of the rules that each breaks."""
+def judged(product: str, frame: DataFrame, provenance: dict[str, object], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Observations with identities and an array ``violations`` of the rules that each breaks; columns of the frame
+    named in ``keep`` come along."""
     require_columns(frame, COLUMNS[product])
     own = PRODUCTS[product]
     texts = {k: F.lit(v) for k, v in provenance.items() if k != "retrieved_at_utc"}
@@ -64,7 +65,7 @@ def judged(product: str, frame: DataFrame, provenance: dict[str, object]) -> Dat
     for name in MEASURES[product]:
         given = {"lmp": "LMP"}.get(name, name.capitalize())
         columns[name], exact[name] = _number(frame, given)
-    rows = frame.select(*[c.alias(n) for n, c in columns.items()], _instant(frame, "Time").alias("__label"), F.col("`Location Type`") if product == "lmp" else F.lit(None).alias("__none"), *[c.alias(f"__exact_{n}") for n, c in exact.items()])
+    rows = frame.select(*[c.alias(n) for n, c in columns.items()], _instant(frame, "Time").alias("__label"), F.col("`Location Type`") if product == "lmp" else F.lit(None).alias("__none"), *[c.alias(f"__exact_{n}") for n, c in exact.items()], *keep)
     begin = F.col("interval_start_utc")
     seconds = F.timestamp_diff("MICROSECOND", begin, F.col("interval_end_utc"))
     minutes = own["seconds"] // 60

@@ -1,7 +1,8 @@
 """The engine's own functions over raw tables that follow from the ``events`` table, at any scale.
 
-An event is an observation of the price of its hour at one of the hubs; later events of that hour and hub are
-revisions. A run brings the r-th revisions of one market date and hub, and some runs fail or are never finalised.
+An event is an observation of the price of its hour at one of the hubs, or of the load of one of three intervals of
+its hour; later events of the same key are revisions. A run brings the r-th revisions of one market date (and hub), and
+some runs fail or are never finalised.
 So planning, facts, health and every data test meet repeats, late states and ineligible rows in numbers that grow
 with the table. The SQL beside each query works from ``events`` alone.
 """
@@ -37,12 +38,14 @@ def query(sql: str) -> Callable[[Query], Query]:
     return register
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as priced hours of hubs with their revision r, and the run that brings each."""
-    hub = F.element_at(F.array(*map(F.lit, HUBS)), (F.col("event_id") % 3 + 1).cast("int"))
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "event_type", (F.col("event_id") % 3).alias("hub_no"), hub.alias("location"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("interval_start_utc"), F.col("value").cast(NUMERIC).alias("lmp")
-    )
+def observations(spark: SparkSession, sf_dir: str, product: str = "lmp") -> DataFrame:
+    """Events as priced hours of hubs, or loads of intervals, with their revision r, and the run that brings each."""
+    third, hour = F.col("event_id") % 3, F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    if product == "lmp":
+        hub_no, hub, start = third, F.element_at(F.array(*map(F.lit, HUBS)), (third + 1).cast("int")), hour
+    else:
+        hub_no, hub, start = F.lit(0).cast("bigint"), F.lit(None).cast("string"), hour + F.make_dt_interval(mins=(third * 5).cast("int"))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", hub_no.alias("hub_no"), hub.alias("location"), start.alias("interval_start_utc"), F.col("value").cast(NUMERIC).alias(product))
     rows = rows.withColumn("r", F.row_number().over(W.partitionBy("hub_no", "interval_start_utc").orderBy("event_id")).cast("bigint")).withColumn("market_date", timez.pacific_date(F.col("interval_start_utc")))
     state = (F.col("r") + F.dayofmonth("market_date") + F.col("hub_no")) % 7
     return rows.select(
@@ -53,37 +56,37 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("known", F.when(F.col("status") == "SUCCEEDED", F.lit(_ZERO).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("r").cast("int"))))
 
 
-def identified(rows: DataFrame) -> DataFrame:
+def identified(rows: DataFrame, product: str = "lmp") -> DataFrame:
     """Observations with the columns and identities of normalised ones."""
-    own = PRODUCTS["lmp"]
-    fixed = {"source": SOURCE, "product": own["product"], "source_dataset": own["source_dataset"], "unit": own["unit"], "market": own["market"], "source_url": "events", "source_method": "generated", "library_version": "1"}
-    numbers = {"energy": 30, "congestion": -2, "loss": 0.5}
+    own = PRODUCTS[product]
+    fixed = {k: own[k] for k in ("product", "source_dataset", "unit", "market", "area") if k in own} | {"source": SOURCE, "source_url": "events", "source_method": "generated", "library_version": "1"}
+    numbers = {"energy": 30, "congestion": -2, "loss": 0.5} if product == "lmp" else {}
     made = rows.withColumns({k: F.lit(v) for k, v in fixed.items()} | {k: F.lit(v).cast(NUMERIC) for k, v in numbers.items()})
-    made = made.withColumns({"interval_end_utc": F.col("interval_start_utc") + F.expr("interval 1 hour"), "retrieved_at_utc": F.lit(_ZERO).cast("timestamp_ntz")})
-    return normalize.with_identity("lmp", made)
+    made = made.withColumns({"interval_end_utc": F.col("interval_start_utc") + F.make_dt_interval(secs=F.lit(own["seconds"])), "retrieved_at_utc": F.lit(_ZERO).cast("timestamp_ntz")})
+    return normalize.with_identity(product, made)
 
 
 def _shaped(frame: DataFrame, table: str, made: dict[str, Column]) -> DataFrame:
     return frame.select(*[made.get(f.name, F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW[table]])
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def tables(spark: SparkSession, sf_dir: str, product: str = "lmp") -> dict[str, DataFrame]:
     """The raw tables: a transition for each observation, contents once with their first run, and all runs."""
-    rows = identified(observations(spark, sf_dir))
-    transitions = _shaped(rows, "lmp_state_transitions", {"transition_id": F.sha2(F.concat_ws("/", "run_id", "logical_key"), 256), "ordinal": F.col("r"), "known_at": F.col("known")})
+    rows = identified(observations(spark, sf_dir, product), product)
+    transitions = _shaped(rows, f"{product}_state_transitions", {"transition_id": F.sha2(F.concat_ws("/", "run_id", "logical_key"), 256), "ordinal": F.col("r"), "known_at": F.col("known")})
     first = rows.groupBy("content_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "content_id"]), "r").alias("c")).select("content_id", "c.*")
-    contents = _shaped(first, "lmp_contents", {"first_run_id": F.col("run_id"), "first_seen_at": F.col("known")})
+    contents = _shaped(first, f"{product}_contents", {"first_run_id": F.col("run_id"), "first_seen_at": F.col("known")})
     per_run = rows.groupBy("run_id", "status", "market_date", "location", "known", "commit_sequence").agg(F.count("*").alias("n"))
     runs = _shaped(
         per_run,
         "ingestion_runs",
         {
-            "request_id": F.md5(F.concat_ws("/", "market_date", "location")), "source": F.lit(SOURCE), "product": F.lit("lmp"), "requested_date": F.col("market_date"), "requested_location": F.col("location"),
+            "request_id": F.md5(F.concat_ws("/", "market_date", "location")), "source": F.lit(SOURCE), "product": F.lit(product), "requested_date": F.col("market_date"), "requested_location": F.col("location"),
             "started_at": F.lit(_ZERO), "commit_completed": F.col("status") != "FAILED", "package_version": F.lit(VERSION), "library_version": F.lit("1"), "warehouse_schema": F.lit(WAREHOUSE_SCHEMA),
             "logical_key_schema": F.lit(KEY_SCHEMA), "content_hash_schema": F.lit(CONTENT_SCHEMA), "knowledge_at": F.col("known"), "completed_at": F.col("known"), "rows_accepted": F.col("n"), "new_transitions": F.col("n"), "new_contents": F.lit(0),
         },
     )
-    return {"ingestion_runs": runs, "lmp_contents": contents, "lmp_state_transitions": transitions}
+    return {"ingestion_runs": runs, f"{product}_contents": contents, f"{product}_state_transitions": transitions}
 
 
 # Eligible states are those whose run and whose content's first run succeeded.
@@ -101,13 +104,15 @@ fact AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hub_no, h ORDE
 """
 
 
-@query("""SELECT location, h AS interval_start_utc, CASE WHEN event_type = 'error' THEN 'location type' ELSE '' END AS violations, CASE WHEN event_type <> 'error' THEN key END AS logical_key,
+@query("""SELECT location, h AS interval_start_utc,
+CASE WHEN event_type = 'error' THEN 'location type' WHEN count(*) FILTER (event_type <> 'error') OVER (PARTITION BY hub_no, h) > 1 THEN 'duplicate' ELSE '' END AS violations, CASE WHEN event_type <> 'error' THEN key END AS logical_key,
 CASE WHEN event_type <> 'error' THEN hash END AS content_hash,
 CASE WHEN event_type <> 'error' THEN sha256('{"content_hash":"' || hash || '","content_hash_schema":"observation-content/v1","logical_key":"' || key || '","logical_key_schema":"observation-key/v1","schema":"warehouse-content/v1"}') END AS content_id
-FROM obs WHERE r = 1""")
+FROM obs""")
 def market_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source frames judged and identified; what breaks a rule says so and has no identity."""
-    rows = observations(spark, sf_dir).where("r = 1")
+    """All events as one source frame, judged and identified; what breaks a rule says so and has no identity, and a key
+    that comes twice is a duplicate."""
+    rows = observations(spark, sf_dir)
     start, own = F.col("interval_start_utc"), PRODUCTS["lmp"]
     given = {"Time": start, "Interval Start": start, "Interval End": start + F.expr("interval 1 hour"), "Market": F.lit(own["market"]), "Location": F.col("location")}
     given |= {"Location Type": F.when(F.col("event_type") == "error", "Node").otherwise(own["location_type"]), "LMP": F.col("lmp")}
@@ -119,17 +124,27 @@ def market_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RUN = "5" * 32
 
 
-@query(f"""SELECT two.key AS logical_key, two.h AS interval_start_utc, 2::BIGINT AS ordinal, 8::BIGINT AS commit_sequence,
-sha256('{{"key":"' || two.key || '","run_id":"{_RUN}","schema":"state-transition/v1"}}') AS transition_id
-FROM obs two JOIN obs one ON one.key = two.key AND one.r = 1 AND two.r = 2 AND one.v <> two.v""")
+_PLAN = f""", moved AS (SELECT *, max(r) OVER (PARTITION BY key) AS m, lag(v) OVER (PARTITION BY key ORDER BY r) AS before FROM obs)
+SELECT key AS logical_key, h AS interval_start_utc, r AS ordinal, 8::BIGINT AS commit_sequence, first_r = r AS new_content,
+sha256('{{"key":"' || key || '","run_id":"{_RUN}","schema":"state-transition/v1"}}') AS transition_id FROM moved WHERE r = m AND before IS DISTINCT FROM v"""
+
+
+def planned(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
+    """What the last observation of each key changes beside all earlier ones: a transition where it differs from the one
+    before, and a content where no earlier one is like it (a value that returns has a transition only)."""
+    rows = identified(observations(spark, sf_dir, product), product)
+    last = rows.withColumn("last_r", F.max("r").over(W.partitionBy("logical_key")))
+    batch, stored = last.where("r = last_r"), last.where("r < last_r")
+    latest = stored.where("r = last_r - 1").select("logical_key", "content_hash", F.col("r").alias("ordinal"))
+    contents, transitions = revision.changes(product, _RUN, batch, stored.select("content_id"), latest, 7)
+    found = transitions.join(contents.select("content_id", F.lit(True).alias("new")), "content_id", "left")
+    return found.select("logical_key", "interval_start_utc", "ordinal", "commit_sequence", F.coalesce("new", F.lit(False)).alias("new_content"), "transition_id")
+
+
+@query(_PLAN)
 def market_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What second observations change beside the first: transitions where the content differs."""
-    rows = identified(observations(spark, sf_dir).where("r <= 2"))
-    one, two = rows.where("r = 1"), rows.where("r = 2")
-    latest = one.select("logical_key", "content_hash", F.lit(1).cast("bigint").alias("ordinal"))
-    contents, transitions = revision.changes("lmp", _RUN, two, one.select("content_id"), latest, 7)
-    # A key's new content and its transition are the same rows here.
-    return transitions.join(contents.select("content_id"), "content_id").select("logical_key", "interval_start_utc", "ordinal", "commit_sequence", "transition_id")
+    """What the last observations of prices change."""
+    return planned(spark, sf_dir, "lmp")
 
 
 _FACT = """SELECT key AS logical_key, market_date, CAST(v AS DOUBLE) AS lmp, r AS state_ordinal, seq AS commit_sequence, strftime(TIMESTAMP '2026-09-01' + to_hours(first_r), '%Y-%m-%d %H:%M:%S') AS first_seen,
