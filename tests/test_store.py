@@ -16,7 +16,7 @@ from tidemark.operators import backfill, guard, normalize, quality, revision
 from tidemark.operators.revision import Request
 from tidemark.operators.upsert import Facts
 from tidemark.plans import models, scenario
-from tidemark.sources.market import fetch, register
+from tidemark.sources.market import fetch
 from tidemark.sources.store import Store, ingest
 
 DAY = date(2026, 8, 1)
@@ -269,9 +269,7 @@ def days(spark, request):
         frame = scenario.source_frame(spark, "load", "5").replace({"2026-08-01": str(request.day)})
         shifted = [F.regexp_replace(c, "2026-08-01", str(request.day)).alias(c) if c != "Load" else F.col(c) for c in frame.columns]
         return normalize.normalize("load", frame.select(*[F.expr(f"`{c}`").alias(c) if c == "Load" else s for c, s in zip(frame.columns, shifted)]), scenario.PROVENANCE)
-    register(spark)
-    frame = spark.read.format("market_days").option("start", str(request.day)).option("location", request.location).load()
-    return normalize.normalize("lmp", frame, scenario.PROVENANCE)
+    return fetch(spark, request, "", via="tests.clients.folder:frame")
 
 
 VOLATILE = ("started_at", "completed_at", "knowledge_at", "run_id", "first_run_id", "transition_id", "state_run_id", "known_at", "first_seen_at", "state_known_at", "content_retrieved_at_utc", "state_retrieved_at_utc", "commit_sequence")

@@ -21,6 +21,7 @@ from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, WAREHOUSE_SC
 from tidemark.operators import normalize, quality, revision, upsert
 from tidemark.plans import models
 from tidemark.schemas import HUBS, NUMERIC, PRODUCTS, RAW, SOURCE, VERSION
+from tidemark.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,8 +72,10 @@ def _shaped(frame: DataFrame, table: str, made: dict[str, Column]) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str, product: str = "lmp") -> dict[str, DataFrame]:
-    """The raw tables: a transition for each observation, contents once with their first run, and all runs."""
-    rows = identified(observations(spark, sf_dir, product), product)
+    """The raw tables: a transition for each observation, contents once with their first run, and all runs. Identities
+    are computed once and checkpointed, as the tables are joined with each other many times."""
+    ensure_checkpoint_dir(spark)
+    rows = identified(observations(spark, sf_dir, product), product).checkpoint()
     transitions = _shaped(rows, f"{product}_state_transitions", {"transition_id": F.sha2(F.concat_ws("/", "run_id", "logical_key"), 256), "ordinal": F.col("r"), "known_at": F.col("known")})
     first = rows.groupBy("content_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "content_id"]), "r").alias("c")).select("content_id", "c.*")
     contents = _shaped(first, f"{product}_contents", {"first_run_id": F.col("run_id"), "first_seen_at": F.col("known")})
@@ -132,7 +135,8 @@ sha256('{{"key":"' || key || '","run_id":"{_RUN}","schema":"state-transition/v1"
 def planned(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
     """What the last observation of each key changes beside all earlier ones: a transition where it differs from the one
     before, and a content where no earlier one is like it (a value that returns has a transition only)."""
-    rows = identified(observations(spark, sf_dir, product), product)
+    ensure_checkpoint_dir(spark)
+    rows = identified(observations(spark, sf_dir, product), product).checkpoint()
     last = rows.withColumn("last_r", F.max("r").over(W.partitionBy("logical_key")))
     batch, stored = last.where("r = last_r"), last.where("r < last_r")
     latest = stored.where("r = last_r - 1").select("logical_key", "content_hash", F.col("r").alias("ordinal"))
