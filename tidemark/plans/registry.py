@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import generated, load, market, relational, series
+from tidemark.plans import checks, generated, load, market, relational, series
 
-_MODULES = (relational, market, generated, load, series)
+_MODULES = (relational, market, generated, load, series, checks)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
