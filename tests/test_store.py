@@ -225,6 +225,38 @@ def test_a_build_writes_only_dates_that_change(spark, tmp_path):
     assert store.read("lmp_contents", day=date(2026, 8, 2)).count() == 48 and store.read("lmp_contents", day=date(2026, 8, 3)).count() == 24
 
 
+def test_what_builds_keep(spark, tmp_path):
+    """After three builds, slices and distinct intervals are those of the fact, and only written dates were counted again."""
+    store, facts = Store(spark, str(tmp_path / "raw")), Facts(spark, str(tmp_path / "facts"))
+    store.bootstrap()
+    assert facts.slices("fct_hourly_lmp") is None and facts.intervals("fct_hourly_lmp", ["hub"]) is None
+    requests = [Request("lmp", date(2026, 8, d), scenario.HUB) for d in (1, 2, 3)]
+    for build in range(3):
+        for r in requests[build:]:
+            ingest(store, r, uuid.uuid4().hex, lambda r=r: days(spark, r).withColumn("lmp", F.col("lmp") + build).transform(lambda f: normalize.with_identity("lmp", f)))
+        facts.build(store, "lmp")
+    name, fact = "fct_hourly_lmp", facts.read("fct_hourly_lmp")
+    want = quality.slices(fact, "location").withColumn("runs", F.sort_array("runs"))
+    got = facts.slices(name).withColumn("runs", F.sort_array("runs")).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 3
+    for levels in (["market_date", "hub"], ["hub"], []):
+        exact = fact.withColumn("hub", F.col("location")).groupBy(*levels).agg(F.count("*"), F.count_distinct("interval_start_utc"))
+        assert sorted(map(tuple, facts.intervals(name, levels).collect())) == sorted(map(tuple, exact.collect()))
+    assert facts.intervals(name, [], ["2026-08-02"]).first().distinct_n == 24
+    # The first build wrote three dates, the second two, the third one; each kept what it wrote.
+    built = sorted(n for n in facts.files.names(name) if n.endswith("-slices"))
+    assert sorted(spark.read.parquet(facts.files.path(f"{name}/{b}")).count() for b in built) == [1, 2, 3]
+    judged = quality.judged_slices(facts.slices(name), store.runs()).collect()
+    assert all(r.n == r["keys"] == 24 and r.ineligible == 0 for r in judged) and len(judged) == 3
+    failed = store.runs().withColumn("status", F.when(F.col("commit_sequence") == 6, "FAILED").otherwise(F.col("status")))
+    assert [(str(r.market_date), r.ineligible) for r in quality.judged_slices(facts.slices(name), failed).where("ineligible > 0").collect()] == [("2026-08-03", 1)]
+    # A fact whose builds kept nothing isn't taken for one that passed.
+    folder = facts._version(name)[1]["dates"]["2026-08-03"].split("/")[1]
+    os.rename(f"{facts.files.local}/{name}/{folder}-slices", f"{tmp_path}/away")
+    with pytest.raises(StoreError, match="full refresh"):
+        facts.slices(name)
+
+
 def test_drift_of_stored_data(spark, store):
     run(store, "10")
     assert store.bootstrap()["status"] == "checked"

@@ -126,6 +126,20 @@ def verify_slices(fact: DataFrame, runs: DataFrame, place: str | None, first, la
     return rows.groupBy("market_date", hub.alias("hub")).agg(F.count("*").alias("n"), F.count_distinct("logical_key").alias("keys"), F.count_if(differs(F.col("status"), F.lit("SUCCEEDED"))).alias("ineligible"))
 
 
+def slices(fact: DataFrame, place: str | None) -> DataFrame:
+    """(market_date, hub, n, keys, high, runs) of each slice of a fact, to be kept beside its files. A date is written
+    whole, so slices of several builds never share rows; a slice has no more runs than its day has intervals."""
+    hub = F.col(place) if place else F.lit("")
+    return fact.groupBy("market_date", hub.alias("hub")).agg(F.count("*").alias("n"), F.count_distinct("logical_key").alias("keys"), F.max("commit_sequence").alias("high"), F.collect_set("state_run_id").alias("runs"))
+
+
+def judged_slices(kept: DataFrame, runs: DataFrame) -> DataFrame:
+    """(market_date, hub, n, keys, ineligible) of kept slices, the last being the number of runs without success."""
+    states = runs.select(F.col("run_id").alias("__run"), "status")
+    each = kept.select("market_date", "hub", "n", "keys", F.explode_outer("runs").alias("__run")).join(states, "__run", "left")
+    return each.groupBy("market_date", "hub", "n", "keys").agg(F.count_if(differs(F.col("status"), F.lit("SUCCEEDED"))).alias("ineligible"))
+
+
 def coverage(prices: DataFrame, days: DataFrame) -> DataFrame:
     """Hours of each (location, market_date) of ``days`` that ``prices`` lack, have twice or have beyond it."""
     first, last = timez.day_bounds(F.col("market_date"))

@@ -4,6 +4,9 @@ A fact is a set of Parquet folders by market date, named by the marker of its ve
 of its own for the dates it changes and then the next marker, which only one can create; readers take the latest.
 So a build that dies or loses leaves the fact as it was. The mark is the largest commit sequence, never an event
 time, so a late event is a candidate like any other.
+
+Beside its folders a build keeps what they hold: rows, keys and runs of each slice, and bitmaps of its intervals. So checks
+and distinct counts after a build read what builds kept, and no build counts dates that it doesn't write.
 """
 
 from __future__ import annotations
@@ -15,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import StoreError
+from tidemark.operators import distinct, quality
 from tidemark.operators.guard import distinct_places
 from tidemark.plans import models
-from tidemark.schemas import assert_contract, fact_columns
+from tidemark.schemas import PRODUCTS, assert_contract, fact_columns
 from tidemark.sources.files import Files
 from tidemark.sources.store import Store
 
@@ -33,6 +37,10 @@ def candidates(states: DataFrame, stored: DataFrame) -> DataFrame:
     return models.current(states.where(F.col("commit_sequence") > mark))
 
 
+def _product(name: str) -> str:
+    return next(p for p, fact in models.FACTS.items() if fact == name)
+
+
 class Facts:
     """Facts in folders of market dates. A version's marker names the folder of each of its dates."""
 
@@ -49,10 +57,44 @@ class Facts:
         if not n:
             return None
         paths = [self.files.path(folder) for day, folder in marker["dates"].items() if dates is None or day in dates]
-        product = next(p for p, fact in models.FACTS.items() if fact == name)
-        schema = ", ".join(f"{c} {kind}" for c, kind in fact_columns(product))
+        schema = ", ".join(f"{c} {kind}" for c, kind in fact_columns(_product(name)))
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def _kept(self, name: str, kind: str, schema: str, dates: list[str] | None) -> DataFrame | None:
+        n, marker = self._version(name)
+        if not n:
+            return None
+        own = [(day, folder.split("/")[1]) for day, folder in marker["dates"].items() if dates is None or day in dates]
+        if not own:
+            return self.spark.createDataFrame([], schema)
+        folders = sorted({f"{name}/{build}-{kind}" for _, build in own})
+        if lacking := [f for f in folders if not self.files.names(f)]:
+            raise StoreError(f"a build kept no {kind} ({lacking[0]}); build {name} again by a full refresh")
+        stored = self.spark.read.schema(f"{schema}, build string").parquet(*map(self.files.path, folders))
+        # Of a build, only the dates that no later one has written again.
+        current = self.spark.createDataFrame(own, "__day string, __build string")
+        return stored.join(current, (F.col("market_date").cast("string") == F.col("__day")) & (F.col("build") == F.col("__build")), "left_semi").drop("build")
+
+    def slices(self, name: str, dates: list[str] | None = None) -> DataFrame | None:
+        """Rows, keys, largest sequence and runs of each (market_date, hub), as the builds kept them."""
+        return self._kept(name, "slices", "market_date date, hub string, n bigint, keys bigint, high bigint, runs array<string>", dates)
+
+    def intervals(self, name: str, levels: list[str], dates: list[str] | None = None) -> DataFrame | None:
+        """Rows and distinct intervals by hub, date, both or none, from the bitmaps that the builds kept."""
+        kept = self._kept(name, "bitmaps", "market_date date, hub string, bucket bigint, n bigint, bits binary", dates)
+        return None if kept is None else distinct.counts(kept, levels)
+
+    def _keep(self, name: str, folder: str) -> int:
+        """Keeps slices and bitmaps of the files of a build; its largest sequence, 0 without rows."""
+        product, build = _product(name), F.lit(folder.split("/")[1]).alias("build")
+        place = "location" if product == "lmp" else None
+        rows = self.spark.read.schema(", ".join(f"{c} {kind}" for c, kind in fact_columns(product))).parquet(self.files.path(folder))
+        quality.slices(rows, place).select("*", build).write.parquet(self.files.path(f"{folder}-slices"))
+        number = F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("interval_start_utc")) / PRODUCTS[product]["seconds"])
+        levels = {"market_date": F.col("market_date"), "hub": F.col(place) if place else F.lit("")}
+        distinct.bitmaps(rows, levels, number).select("*", build).write.parquet(self.files.path(f"{folder}-bitmaps"))
+        return self.spark.read.parquet(self.files.path(f"{folder}-slices")).agg(F.max("high")).first()[0] or 0
+
     def publish(self, name: str, frame: DataFrame, columns: list[tuple[str, str]], base: tuple[int, dict] | None = None) -> None:
         """Writes a version: the frame's dates, and those of ``base`` that it doesn't touch. Of two builds from
         one base the second fails, and the folders it wrote belong to no version."""
@@ -61,8 +103,8 @@ class Facts:
         folder = f"{name}/data-{uuid.uuid4().hex}"
         frame.withColumn("__date", F.col("market_date").cast("string")).repartition("__date").write.partitionBy("__date").parquet(self.files.path(folder))
         written = {day.removeprefix("__date="): f"{folder}/{day}" for day in self.files.names(folder) if day.startswith("__date=")}
-        mark = self.spark.read.parquet(self.files.path(folder)).agg(F.max("commit_sequence")).first()[0] if written else None
-        made = {"commit_sequence": max(marker["commit_sequence"], mark or 0), "dates": marker["dates"] | written}
+        mark = self._keep(name, folder) if written else 0
+        made = {"commit_sequence": max(marker["commit_sequence"], mark), "dates": marker["dates"] | written}
         if not self.files.create(f"{name}/versions/{n + 1:08d}.json", json.dumps(made)):
             raise StoreError(f"another build has published version {n + 1} of {name}; build again")
 

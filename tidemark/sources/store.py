@@ -25,6 +25,7 @@ from tidemark.operators import revision
 from tidemark.operators.revision import Request, valid_run_id
 from tidemark.schemas import RAW, SOURCE, VERSION
 from tidemark.sources.files import Files
+from tidemark.sources.tables import write_counted
 
 OWNER = "tidemark"
 #: Commits after which a digest of the log is written.
@@ -153,8 +154,7 @@ class Store:
         n, counts, folders = change.expected_sequence + 1, {}, {}
         for table, key, frame in ((f"{product}_contents", "new_contents", change.contents), (f"{product}_state_transitions", "new_transitions", change.transitions)):
             folder = f"data/{table}/commit={n:012d}-{run_id}"
-            frame.write.mode("overwrite").parquet(self.files.path(folder))
-            counts[key] = self.spark.read.schema(RAW[table]).parquet(self.files.path(folder)).count()
+            counts[key] = write_counted(frame, self.files.path(folder), "overwrite")["n"]
             folders[table] = folder
         day = self._record(f"runs/{run_id}.started.json")["requested_date"]
         record = {"run_id": run_id, "day": day, "batch_hash": change.batch_hash, "commit_job_id": f"commit-{run_id}", "folders": folders, **counts, **{k: change.accepted for k in ("rows_fetched", "rows_normalized", "rows_accepted")}}
