@@ -24,5 +24,6 @@ def write_counted(frame: DataFrame, path: str, mode: str = "errorifexists", **fi
 
 def replace_partitions(frame: DataFrame, path: str, column: str) -> None:
     """Replaces the values of ``column`` that the frame has, whole; others stay as they are. A job that fails changes nothing
-    that readers see before its commit, and running it again gives the same."""
-    frame.repartition(column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    that readers see before its commit, and running it again gives the same. Rows are dealt by the column so that a value
+    is few files, and a value with a great share of the rows is split over tasks."""
+    frame.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
