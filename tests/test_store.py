@@ -257,6 +257,16 @@ def test_what_builds_keep(spark, tmp_path):
         facts.slices(name)
 
 
+def test_manifests_tell_what_was_read(spark, store, tmp_path):
+    """Nothing is stored before the first run; the second plans against its rows alone. A report tells it of its prices."""
+    first, second, other = run(store, "10"), run(store, "20"), run(store, "10", LOADS)
+    assert first["query_bytes_processed"] < second["query_bytes_processed"] > other["query_bytes_processed"]
+    told = {r.run_id: (r.query_bytes_processed, r.query_bytes_billed) for r in store.runs().collect()}
+    assert told == {m["run_id"]: (m["query_bytes_processed"], None) for m in (first, second, other)}
+    spark.range(1000).write.parquet(path := str(tmp_path / "some"))
+    assert guard.planned_bytes(spark.read.parquet(path)) > 1000 and guard.planned_bytes(spark.range(5).limit(1)) < 1000
+
+
 def test_drift_of_stored_data(spark, store):
     run(store, "10")
     assert store.bootstrap()["status"] == "checked"

@@ -14,6 +14,7 @@ from tidemark.functions import timez
 from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, exact_numeric
 from tidemark.operators import dispatch, quality
 from tidemark.operators.dispatch import Battery
+from tidemark.operators.guard import planned_bytes
 from tidemark.operators.revision import Request
 from tidemark.schemas import BATTERY_INPUTS, BATTERY_JSON, HUBS, NUMERIC, PRODUCTS, SOURCE, VERSION
 
@@ -93,6 +94,7 @@ def report(prices: DataFrame, days: DataFrame, totals: DataFrame, battery: Batte
         inputs.setdefault(str(r.market_date), []).append(r.asDict())
     body = {
         "input_kind": kind,
+        "query": {"bytes_processed": planned_bytes(prices)},
         "versions": {"tidemark": VERSION, "spark": prices.sparkSession.version, "python": platform.python_version()},
         "backtest": {
             "config": battery.__dict__,

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import CommitUnconfirmed, SchemaError, StoreError, TidemarkError
 from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, WAREHOUSE_SCHEMA
 from tidemark.operators import revision
+from tidemark.operators.guard import planned_bytes
 from tidemark.operators.revision import Request, valid_run_id
 from tidemark.schemas import RAW, SOURCE, VERSION
 from tidemark.sources.files import Files
@@ -145,8 +146,9 @@ class Store:
 
     # Commits ----------------------------------------------------------------------------------
 
-    def commit(self, run_id: str, product: str, change: revision.Change) -> int:
-        """Writes the rows and claims the next sequence; the sequence, or an error with nothing visible."""
+    def commit(self, run_id: str, product: str, change: revision.Change, bytes_read: int | None = None) -> int:
+        """Writes the rows and claims the next sequence; the sequence, or an error with nothing visible. The manifest
+        says how many bytes of stored rows the plan read, if told."""
         if self.active_run() is not None:
             raise StoreError(f"run {self.active_run()} waits to be resumed")
         if self.sequence() != change.expected_sequence:
@@ -157,7 +159,7 @@ class Store:
             counts[key] = write_counted(frame, self.files.path(folder), "overwrite")["n"]
             folders[table] = folder
         day = self._record(f"runs/{run_id}.started.json")["requested_date"]
-        record = {"run_id": run_id, "day": day, "batch_hash": change.batch_hash, "commit_job_id": f"commit-{run_id}", "folders": folders, **counts, **{k: change.accepted for k in ("rows_fetched", "rows_normalized", "rows_accepted")}}
+        record = {"run_id": run_id, "day": day, "batch_hash": change.batch_hash, "commit_job_id": f"commit-{run_id}", "folders": folders, "query_bytes_processed": bytes_read, **counts, **{k: change.accepted for k in ("rows_fetched", "rows_normalized", "rows_accepted")}}
         if not self.files.create(f"log/{n:012d}.commit.json", json.dumps(record)):
             raise StoreError("stale snapshot: the sequence is taken by another run")
         return n
@@ -207,7 +209,7 @@ class Store:
             rows = revision.batch(request, records)
             ids, latest = revision.snapshot(*(self.read(f"{request.product}_{kind}", day=request.day) for kind in ("contents", "state_transitions")), request.day)
             change = revision.plan(request.product, run_id, rows, ids, latest, sequence)
-            self.commit(run_id, request.product, change)
+            self.commit(run_id, request.product, change, sum(map(planned_bytes, (ids, latest))))
         except Exception as error:
             self.fail(run_id, error)
             raise
@@ -229,8 +231,8 @@ class Store:
         schema = RAW["ingestion_runs"]
         begun = self._records(".started.json", "run_id string, request_id string, source string, product string, requested_date string, requested_location string, started_at string, package_version string, library_version string, warehouse_schema string, logical_key_schema string, content_hash_schema string, code_revision string")
         failed = self._records(".failed.json", "run_id string, completed_at string, error_class string, error_message string").withColumnRenamed("completed_at", "failed_at")
-        numbers = ("rows_fetched", "rows_normalized", "rows_accepted", "new_contents", "new_transitions")
-        done = [(e["commit"]["run_id"], e["n"], e["commit"]["batch_hash"], e["commit"]["commit_job_id"], *(e["commit"][k] for k in numbers), *((e["final"] or {}).get(k) for k in ("knowledge_at", "completed_at"))) for e in self._entries()]
+        numbers = ("rows_fetched", "rows_normalized", "rows_accepted", "new_contents", "new_transitions", "query_bytes_processed")
+        done = [(e["commit"]["run_id"], e["n"], e["commit"]["batch_hash"], e["commit"]["commit_job_id"], *(e["commit"].get(k) for k in numbers), *((e["final"] or {}).get(k) for k in ("knowledge_at", "completed_at"))) for e in self._entries()]
         commits = self.spark.createDataFrame(done, "run_id string, commit_sequence bigint, batch_hash string, commit_job_id string, " + "".join(f"{k} bigint, " for k in numbers) + "knowledge_at string, finalised_at string")
         joined = begun.join(commits, "run_id", "left").join(failed, "run_id", "left")
         committed, lost = F.col("commit_sequence").isNotNull(), F.col("failed_at").isNotNull()
