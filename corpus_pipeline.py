@@ -64,7 +64,8 @@ ORACLE_SQL: str | None = None
 
 
 #: Names a run. A run of a name takes up what an earlier one of that name has finished over the same input, key
-#: and stages; without a name, all is new.
+#: and stages; without a name, all is new. On a cluster that names no key, each application draws its own, so another
+#: application starts anew.
 RUN_SETTING = "spark.tidemark.pipeline.run"
 
 
