@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,12 @@ def candidates(states: DataFrame, stored: DataFrame) -> DataFrame:
     return models.current(states.where(F.col("commit_sequence") > mark))
 
 
+def candidates_of(tables: models.Tables, product: str, stored: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
+    """``candidates`` of all states of the tables, ranked without the columns of their contents (``models.latest``)."""
+    mark, name = stored.agg(F.coalesce(F.max("commit_sequence"), F.lit(0))).scalar(), f"{product}_state_transitions"
+    return models.latest({**tables, name: tables[name].where(F.col("commit_sequence") > mark)}, product, keep)
+
+
 def _product(name: str) -> str:
     return next(p for p, fact in models.FACTS.items() if fact == name)
 
@@ -122,7 +129,7 @@ class Facts:
             return (fact := self.read(name)), fact.count()
         # Transitions above the mark come from new commits' folders alone; their contents may be older.
         tables = store.tables() | {f"{product}_state_transitions": store.read(f"{product}_state_transitions", base[1]["commit_sequence"])}
-        new = models.current(models.history(tables, product)).cache()
+        new = models.latest(tables, product).cache()
         if changed := new.count():
             touched = [str(r.market_date) for r in new.select("market_date").distinct().collect()]
             self.publish(name, merged(self.read(name, touched), new), columns, base)

@@ -9,6 +9,7 @@ with the table. The SQL beside each query works from ``events`` alone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -39,15 +40,26 @@ def query(sql: str) -> Callable[[Query], Query]:
     return register
 
 
-def observations(spark: SparkSession, sf_dir: str, product: str = "lmp") -> DataFrame:
-    """Events as priced hours of hubs, or loads of intervals, with their revision r, and the run that brings each."""
+def _location(hub_no: Column, product: str) -> Column:
+    return F.element_at(F.array(*map(F.lit, HUBS)), (hub_no + 1).cast("int")) if product == "lmp" else F.lit(None).cast("string")
+
+
+def numbered(spark: SparkSession, sf_dir: str, product: str = "lmp") -> DataFrame:
+    """Events as priced hours of hubs, or loads of intervals, with their revision r, the first one of their value and the last one."""
     third, hour = F.col("event_id") % 3, F.date_trunc("hour", "ts").cast("timestamp_ntz")
     if product == "lmp":
-        hub_no, hub, start = third, F.element_at(F.array(*map(F.lit, HUBS)), (third + 1).cast("int")), hour
+        hub_no, start = third, hour
     else:
-        hub_no, hub, start = F.lit(0).cast("bigint"), F.lit(None).cast("string"), hour + F.make_dt_interval(mins=(third * 5).cast("int"))
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", hub_no.alias("hub_no"), hub.alias("location"), start.alias("interval_start_utc"), F.col("value").cast(NUMERIC).alias(product))
-    rows = rows.withColumn("r", F.row_number().over(W.partitionBy("hub_no", "interval_start_utc").orderBy("event_id")).cast("bigint")).withColumn("market_date", timez.pacific_date(F.col("interval_start_utc")))
+        hub_no, start = F.lit(0).cast("bigint"), hour + F.make_dt_interval(mins=(third * 5).cast("int"))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", hub_no.alias("hub_no"), start.alias("interval_start_utc"), F.col("value").cast(NUMERIC).alias(product))
+    key = W.partitionBy("hub_no", "interval_start_utc")
+    rows = rows.withColumn("r", F.row_number().over(key.orderBy("event_id")).cast("bigint")).withColumn("last_r", F.max("r").over(key))
+    return rows.withColumn("first_r", F.min("r").over(W.partitionBy("hub_no", "interval_start_utc", product)))
+
+
+def brought(rows: DataFrame, product: str = "lmp") -> DataFrame:
+    """The rows with what follows from hub, time and revision: place, date and the run that brings each."""
+    rows = rows.withColumn("location", _location(F.col("hub_no"), product)).withColumn("market_date", timez.pacific_date(F.col("interval_start_utc")))
     state = (F.col("r") + F.dayofmonth("market_date") + F.col("hub_no")) % 7
     return rows.select(
         "*",
@@ -57,14 +69,39 @@ def observations(spark: SparkSession, sf_dir: str, product: str = "lmp") -> Data
     ).withColumn("known", F.when(F.col("status") == "SUCCEEDED", F.lit(_ZERO).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("r").cast("int"))))
 
 
+def observations(spark: SparkSession, sf_dir: str, product: str = "lmp") -> DataFrame:
+    """Numbered events, and the run that brings each."""
+    return brought(numbered(spark, sf_dir, product), product).drop("first_r", "last_r")
+
+
 def identified(rows: DataFrame, product: str = "lmp") -> DataFrame:
     """Observations with the columns and identities of normalised ones."""
+    return normalize.with_identity(product, _normalised(rows, product))
+
+
+def _normalised(rows: DataFrame, product: str) -> DataFrame:
     own = PRODUCTS[product]
     fixed = {k: own[k] for k in ("product", "source_dataset", "unit", "market", "area") if k in own} | {"source": SOURCE, "source_url": "events", "source_method": "generated", "library_version": "1"}
     numbers = {"energy": 30, "congestion": -2, "loss": 0.5} if product == "lmp" else {}
     made = rows.withColumns({k: F.lit(v) for k, v in fixed.items()} | {k: F.lit(v).cast(NUMERIC) for k, v in numbers.items()})
-    made = made.withColumns({"interval_end_utc": F.col("interval_start_utc") + F.make_dt_interval(secs=F.lit(own["seconds"])), "retrieved_at_utc": F.lit(_ZERO).cast("timestamp_ntz")})
-    return normalize.with_identity(product, made)
+    return made.withColumns({"interval_end_utc": F.col("interval_start_utc") + F.make_dt_interval(secs=F.lit(own["seconds"])), "retrieved_at_utc": F.lit(_ZERO).cast("timestamp_ntz")})
+
+
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written once as Parquet to the shared checkpoint folder, so that plans read only the columns they
+    need and know its size. The folder (``name-*``) is the caller's to delete, like a checkpoint."""
+    folder = f"{ensure_checkpoint_dir(frame.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(folder)
+    return frame.sparkSession.read.parquet(folder)
+
+
+def stored(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
+    """Identified observations, their identities computed once. Only what can't be told from the rest is kept; constants and
+    runs are columns of the plan that reads it."""
+    rows = identified(brought(numbered(spark, sf_dir, product), product), product)
+    narrow = kept(rows.select("hub_no", "interval_start_utc", product, "r", "first_r", "last_r", "logical_key", "content_hash", "content_id"), f"{product}-observations")
+    whole = _normalised(brought(narrow, product), product)
+    return whole.withColumns({"logical_key_schema": F.lit(KEY_SCHEMA), "content_hash_schema": F.lit(CONTENT_SCHEMA)})
 
 
 def _shaped(frame: DataFrame, table: str, made: dict[str, Column]) -> DataFrame:
@@ -73,13 +110,11 @@ def _shaped(frame: DataFrame, table: str, made: dict[str, Column]) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str, product: str = "lmp") -> dict[str, DataFrame]:
     """The raw tables: a transition for each observation, contents once with their first run, and all runs. Identities
-    are computed once and checkpointed, as the tables are joined with each other many times."""
-    ensure_checkpoint_dir(spark)
-    rows = identified(observations(spark, sf_dir, product), product).checkpoint()
+    are computed once and kept, as the tables are joined with each other many times."""
+    rows = stored(spark, sf_dir, product)
     transitions = _shaped(rows, f"{product}_state_transitions", {"transition_id": F.sha2(F.concat_ws("/", "run_id", "logical_key"), 256), "ordinal": F.col("r"), "known_at": F.col("known")})
-    first = rows.groupBy("content_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "content_id"]), "r").alias("c")).select("content_id", "c.*")
-    contents = _shaped(first, f"{product}_contents", {"first_run_id": F.col("run_id"), "first_seen_at": F.col("known")})
-    per_run = rows.groupBy("run_id", "status", "market_date", "location", "known", "commit_sequence").agg(F.count("*").alias("n"))
+    contents = _shaped(rows.where("r = first_r"), f"{product}_contents", {"first_run_id": F.col("run_id"), "first_seen_at": F.col("known")})
+    per_run = brought(rows.groupBy("hub_no", "r", "market_date").agg(F.count("*").alias("n"), F.min("interval_start_utc").alias("interval_start_utc")), product)
     runs = _shaped(
         per_run,
         "ingestion_runs",
@@ -135,12 +170,10 @@ sha256('{{"key":"' || key || '","run_id":"{_RUN}","schema":"state-transition/v1"
 def planned(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
     """What the last observation of each key changes beside all earlier ones: a transition where it differs from the one
     before, and a content where no earlier one is like it (a value that returns has a transition only)."""
-    ensure_checkpoint_dir(spark)
-    rows = identified(observations(spark, sf_dir, product), product).checkpoint()
-    last = rows.withColumn("last_r", F.max("r").over(W.partitionBy("logical_key")))
-    batch, stored = last.where("r = last_r"), last.where("r < last_r")
-    latest = stored.where("r = last_r - 1").select("logical_key", "content_hash", F.col("r").alias("ordinal"))
-    contents, transitions = revision.changes(product, _RUN, batch, stored.select("content_id"), latest, 7)
+    rows = stored(spark, sf_dir, product)
+    batch, before = rows.where("r = last_r"), rows.where("r < last_r")
+    latest = before.where("r = last_r - 1").select("logical_key", "content_hash", F.col("r").alias("ordinal"))
+    contents, transitions = revision.changes(product, _RUN, batch, before.select("content_id"), latest, 7)
     found = transitions.join(contents.select("content_id", F.lit(True).alias("new")), "content_id", "left")
     return found.select("logical_key", "interval_start_utc", "ordinal", "commit_sequence", F.coalesce("new", F.lit(False)).alias("new_content"), "transition_id")
 
@@ -165,17 +198,29 @@ def _fact_columns(fact: DataFrame) -> DataFrame:
 @query(_FACT)
 def market_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current states by a full refresh."""
-    return _fact_columns(models.fact(tables(spark, sf_dir), "lmp"))
+    return _fact_columns(models.fact(tables(spark, sf_dir), "lmp", _ranked))
 
 
 @query(_FACT)
 def market_fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a fact that knows first and second revisions only, by candidates above its mark."""
-    raw = tables(spark, sf_dir)
-    states = models.history(raw, "lmp")
-    early = raw["lmp_state_transitions"].where("ordinal <= 2")
-    stored = models.current(models.history(raw | {"lmp_state_transitions": early}, "lmp"))
-    return _fact_columns(upsert.merged(stored, upsert.candidates(states, stored)))
+    return _fact_columns(incremental(tables(spark, sf_dir), "lmp", 2))
+
+
+def incremental(raw: dict[str, DataFrame], product: str, most: int) -> DataFrame:
+    """A kept fact of the first ``most`` revisions, merged with what is above its mark."""
+    name = f"{product}_state_transitions"
+    fact = kept(models.latest(raw | {name: raw[name].where(F.col("ordinal") <= most)}, product, _ranked), f"{product}-fact")
+    return upsert.merged(fact, kept(upsert.candidates_of(raw, product, fact, _ranked), f"{product}-candidates"))
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    return kept(rows, "ranked")
+
+
+def fact_of(raw: dict[str, DataFrame], product: str) -> DataFrame:
+    """The full refresh, kept as a fact is, so that what reads it several times works it out once."""
+    return kept(models.fact(raw, product, _ranked), f"{product}-fact")
 
 
 @query("""SELECT location AS requested_location, market_date AS requested_date, count(DISTINCT r) AS run_count, count(DISTINCT r) FILTER (status = 'SUCCEEDED') AS succeeded_run_count,
@@ -194,7 +239,7 @@ def market_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offenders in history, where contents of unfinished runs are left out, and in a fact with wrong and missing rows."""
     raw = tables(spark, sf_dir)
     hour = F.hour("interval_start_utc")
-    fact = models.fact(raw, "lmp").where(~((F.col("location") == HUBS[2]) & (hour == 3)))
+    fact = fact_of(raw, "lmp").where(~((F.col("location") == HUBS[2]) & (hour == 3)))
     fact = fact.withColumn("commit_sequence", F.when(hour % 5 == 0, F.col("commit_sequence") + 1).otherwise(F.col("commit_sequence")))
     kinds = spark.range(2).select(F.when(F.col("id") == 0, "history").otherwise("current").alias("contract"))
     found = quality.reconcile(raw, "lmp", fact=fact).groupBy("contract").agg(F.count("*").alias("offenders"))
@@ -205,7 +250,7 @@ def market_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_valid_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of facts that break a rule: another unit, or a clock that isn't their run's."""
     raw = tables(spark, sf_dir)
-    fact = models.fact(raw, "lmp")
+    fact = fact_of(raw, "lmp")
     fact = fact.withColumn("unit", F.when(F.hour("interval_start_utc") % 5 == 0, "kWh").otherwise(F.col("unit")))
     fact = fact.withColumn("state_known_at", F.when(F.dayofmonth("market_date") == 9, F.col("state_known_at") + F.expr("interval 1 minute")).otherwise(F.col("state_known_at")))
     return quality.valid_facts(raw, "lmp", fact)
@@ -214,7 +259,7 @@ def market_valid_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT market_date, location FROM fact GROUP BY 1, 2, hub_no HAVING hub_no = 2 OR day(market_date) % 4 = 0""")
 def market_summary_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of a summary with more hours than a day has, or an average beyond the extremes."""
-    days = models.daily_summary(models.fact(tables(spark, sf_dir), "lmp"))
+    days = models.daily_summary(models.fact(tables(spark, sf_dir), "lmp", _ranked))
     days = days.withColumn("observation_count", F.when(F.col("location") == HUBS[2], F.col("observation_count") + 30).otherwise(F.col("observation_count")))
     days = days.withColumn("average_lmp_usd_per_mwh", F.when(F.dayofmonth("market_date") % 4 == 0, F.col("maximum_lmp_usd_per_mwh") + 1).otherwise(F.col("average_lmp_usd_per_mwh")))
     return quality.valid_daily_summary(days)
@@ -225,7 +270,7 @@ UNION ALL SELECT 'extra_or_changed', count(*) FROM fact WHERE (hour(h) % 6 = 0 O
 UNION ALL SELECT 'invalid', count(*) FROM fact WHERE hour(h) % 9 = 1 UNION ALL SELECT 'duplicate_grain', count(*) FROM fact WHERE hub_no = 0 AND hour(h) = 7) WHERE n > 0""")
 def market_inputs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart with changed prices, another unit, a missing hour and repeated rows, beside its fact."""
-    fact = models.fact(tables(spark, sf_dir), "lmp")
+    fact = fact_of(tables(spark, sf_dir), "lmp")
     hour = F.hour("interval_start_utc")
     mart = models.battery_inputs(fact).where(~((F.col("location") == HUBS[1]) & (hour == 4)))
     mart = mart.withColumn("lmp", F.when(hour % 6 == 0, (F.col("lmp") + 1).cast(NUMERIC)).otherwise(F.col("lmp"))).withColumn("unit", F.when(hour % 9 == 1, "kWh").otherwise(F.col("unit")))
@@ -237,7 +282,7 @@ def market_inputs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, keys and rows without an eligible run in each slice that a build is checked by."""
     raw = tables(spark, sf_dir)
-    fact = models.fact(raw, "lmp").withColumn("state_run_id", F.when(F.hour("interval_start_utc") == 5, "unknown").otherwise(F.col("state_run_id")))
+    fact = models.fact(raw, "lmp", _ranked).withColumn("state_run_id", F.when(F.hour("interval_start_utc") == 5, "unknown").otherwise(F.col("state_run_id")))
     return quality.verify_slices(fact, raw["ingestion_runs"], "location", date(2024, 1, 5), date(2024, 1, 25))
 
 
@@ -247,7 +292,7 @@ SELECT location, market_date, h AS interval_start_utc, CASE WHEN hour(h) = 9 AND
 FROM wanted w WHERE hour(h) = 9 OR NOT EXISTS (SELECT 1 FROM fact f WHERE f.location = w.location AND f.h = w.h)""")
 def market_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours that days lack, or have twice."""
-    fact = models.fact(tables(spark, sf_dir), "lmp").select("location", "market_date", "interval_start_utc")
+    fact = fact_of(tables(spark, sf_dir), "lmp").select("location", "market_date", "interval_start_utc")
     twice = fact.unionByName(fact.where(F.hour("interval_start_utc") == 9))
     gaps = quality.coverage(twice, fact.select("location", "market_date").distinct())
     return gaps.select("location", "market_date", "interval_start_utc", F.coalesce("n", F.lit(0)).alias("n"))

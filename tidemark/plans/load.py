@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import normalize, quality, upsert
+from tidemark.operators import normalize, quality
 from tidemark.plans import generated, models
 from tidemark.plans.generated import Query, observations, tables
 from tidemark.schemas import MEASURES, NUMERIC
@@ -72,16 +72,13 @@ def _fact_columns(fact: DataFrame) -> DataFrame:
 @query(_FACT)
 def load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current loads by a full refresh."""
-    return _fact_columns(models.fact(tables(spark, sf_dir, "load"), "load"))
+    return _fact_columns(models.fact(tables(spark, sf_dir, "load"), "load", generated._ranked))
 
 
 @query(_FACT)
 def load_fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a fact that knows first revisions only."""
-    raw = tables(spark, sf_dir, "load")
-    early = raw["load_state_transitions"].where("ordinal <= 1")
-    stored = models.current(models.history(raw | {"load_state_transitions": early}, "load"))
-    return _fact_columns(upsert.merged(stored, upsert.candidates(models.history(raw, "load"), stored)))
+    return _fact_columns(generated.incremental(tables(spark, sf_dir, "load"), "load", 1))
 
 
 @query(""", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY r DESC) AS k FROM obs WHERE status = 'SUCCEEDED') WHERE k = 1)
@@ -91,7 +88,7 @@ def load_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offenders in the history of load, and in a fact with wrong and missing rows."""
     raw = tables(spark, sf_dir, "load")
     hour, minute = F.hour("interval_start_utc"), F.minute("interval_start_utc")
-    fact = models.fact(raw, "load").where((minute != 10) | (hour % 3 != 0))
+    fact = generated.fact_of(raw, "load").where((minute != 10) | (hour % 3 != 0))
     fact = fact.withColumn("commit_sequence", F.when(hour % 5 == 0, F.col("commit_sequence") + 1).otherwise(F.col("commit_sequence")))
     kinds = spark.range(2).select(F.when(F.col("id") == 0, "history").otherwise("current").alias("contract"))
     found = quality.reconcile(raw, "load", fact=fact).groupBy("contract").agg(F.count("*").alias("offenders"))
@@ -102,7 +99,7 @@ def load_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, keys and rows without an eligible run in each day of load that a build is checked by."""
     raw = tables(spark, sf_dir, "load")
-    fact = models.fact(raw, "load").withColumn("state_run_id", F.when(F.hour("interval_start_utc") == 5, "unknown").otherwise(F.col("state_run_id")))
+    fact = models.fact(raw, "load", generated._ranked).withColumn("state_run_id", F.when(F.hour("interval_start_utc") == 5, "unknown").otherwise(F.col("state_run_id")))
     return quality.verify_slices(fact, raw["ingestion_runs"], None, date(2024, 1, 5), date(2024, 1, 25))
 
 
@@ -129,7 +126,7 @@ def spoiled(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
     raw = tables(spark, sf_dir, product)
     ways = _spoils(product, raw)
     way = (F.dayofyear("market_date") * 7 + F.hour("interval_start_utc")) % len(ways)
-    fact = models.fact(raw, product).withColumn("way", way)
+    fact = generated.fact_of(raw, product).withColumn("way", way)
     kinds = dict(fact.dtypes)
     changed: dict[str, Column] = {}
     for k, (_, columns) in enumerate(ways):

@@ -6,7 +6,7 @@ frames; nothing is materialised here. ``tidemark.operators.upsert`` publishes fa
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -38,10 +38,8 @@ def stg_transitions(tables: Tables, product: str) -> DataFrame:
     return tables[f"{product}_state_transitions"].join(_succeeded(tables, "run_id"), "run_id").select(*RAW[f"{product}_state_transitions"].names)
 
 
-def history(tables: Tables, product: str) -> DataFrame:
-    """Eligible transitions with their contents; a transition whose content isn't eligible is left out."""
-    contents = stg_contents(tables, product).withColumnRenamed("retrieved_at_utc", "content_retrieved_at_utc")
-    states = stg_transitions(tables, product).select(
+def _states(tables: Tables, product: str) -> DataFrame:
+    return stg_transitions(tables, product).select(
         "content_id",
         "transition_id",
         F.col("run_id").alias("state_run_id"),
@@ -50,7 +48,12 @@ def history(tables: Tables, product: str) -> DataFrame:
         F.col("known_at").alias("state_known_at"),
         F.col("retrieved_at_utc").alias("state_retrieved_at_utc"),
     )
-    return states.join(contents, "content_id").select(*[n for n, _ in fact_columns(product)])
+
+
+def history(tables: Tables, product: str) -> DataFrame:
+    """Eligible transitions with their contents; a transition whose content isn't eligible is left out."""
+    contents = stg_contents(tables, product).withColumnRenamed("retrieved_at_utc", "content_retrieved_at_utc")
+    return _states(tables, product).join(contents, "content_id").select(*[n for n, _ in fact_columns(product)])
 
 
 def current(states: DataFrame) -> DataFrame:
@@ -59,9 +62,20 @@ def current(states: DataFrame) -> DataFrame:
     return states.withColumn("state_rank", F.row_number().over(order)).where("state_rank = 1").drop("state_rank")
 
 
-def fact(tables: Tables, product: str) -> DataFrame:
+def latest(tables: Tables, product: str, keep: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
+    """``current(history(...))``, but states are ranked with ids and keys of contents alone; the other columns of a
+    content, most of a row's width, meet only the states that stay. ``keep`` may store these, so that Spark knows
+    how few they are before it deals out contents."""
+    ids = stg_contents(tables, product).select("content_id", "logical_key")
+    ranked = keep(current(_states(tables, product).join(ids, "content_id")))
+    contents = tables[f"{product}_contents"].select(*RAW[f"{product}_contents"].names).withColumnRenamed("retrieved_at_utc", "content_retrieved_at_utc")
+    found = ranked.join(contents, ["content_id", "logical_key"]).join(_succeeded(tables, "first_run_id"), "first_run_id")
+    return current(found.select(*[n for n, _ in fact_columns(product)]))
+
+
+def fact(tables: Tables, product: str, keep: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
     """The full refresh of a product's current-state fact, under its contract."""
-    return assert_contract(current(history(tables, product)), fact_columns(product), FACTS[product])
+    return assert_contract(latest(tables, product, keep), fact_columns(product), FACTS[product])
 
 
 def as_of(tables: Tables, product: str, cutoff) -> DataFrame:
