@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import re
+from datetime import timedelta
+
+from pyspark.sql import functions as F
 
 from tests.test_queries import plan
+from tidemark.operators import quality
 from tidemark.plans import generated, models
 
 
@@ -28,3 +32,16 @@ def test_observations_are_kept_without_what_follows_from_them(spark, sf):
     assert contents.count() == contents.select("content_id").distinct().count() == raw["lmp_state_transitions"].select("content_id").distinct().count()
     read = re.search(r"Scan parquet[^\n]*\nOutput \[(\d+)\]", plan(contents))
     assert int(read[1]) <= 9
+
+
+def test_reconciled_rows_travel_as_a_key_and_a_digest(spark, sf):
+    raw = generated.tables(spark, sf)
+    states, fact = models.history(raw, "lmp"), generated.fact_of(raw, "lmp")
+    text = plan(quality.reconcile(raw, "lmp", states, fact))
+    dealt = [int(n) for n in re.findall(r"^\(\d+\) Exchange\nInput \[(\d+)\][^\n]*\nArguments: hashpartitioning\(transition_id", text, re.M)]
+    assert dealt and max(dealt) == 2
+    some = states.agg(F.min("transition_id")).first()[0]
+    moved = F.when(F.col("transition_id") == some, F.col("state_known_at") + F.lit(timedelta(microseconds=1))).otherwise(F.col("state_known_at"))
+    before = {tuple(r) for r in quality.reconcile(raw, "lmp", states, fact).collect()}
+    after = {tuple(r) for r in quality.reconcile(raw, "lmp", states.withColumn("state_known_at", moved), fact).collect()}
+    assert after - before == {("history", some)} and not before - after

@@ -48,22 +48,25 @@ def reconcile(tables: Tables, product: str, states: DataFrame | None = None, fac
     """(contract, offending_id): transitions that history misses, invents or changes, and keys whose fact
     isn't the latest state, ranked here from the raw rows alone."""
     runs = tables["ingestion_runs"].where("status = 'SUCCEEDED'").select("run_id")
-    eligible = tables[f"{product}_state_transitions"].join(runs, "run_id")
     states = states if states is not None else history(tables, product)
     fact = fact if fact is not None else tables[FACTS[product]]
-    pairs = (("content_id", "content_id"), ("content_hash", "content_hash"), ("ordinal", "state_ordinal"), ("commit_sequence", "commit_sequence"), ("known_at", "state_known_at"))
+    raw = ("transition_id", "logical_key", "content_id", "content_hash", "ordinal", "commit_sequence", "known_at")
+    own = ("transition_id", "logical_key", "content_id", "content_hash", "state_ordinal", "commit_sequence", "state_known_at")
 
-    def offending(expected: DataFrame, actual: DataFrame, key: str, extra: str, contract: str) -> DataFrame:
-        e, a = expected.alias("e"), actual.alias("a")
+    def told(names: tuple[str, ...]) -> Column:
+        # A digest of the compared values travels in their place: as text, which holds microseconds too, without the null ones.
+        return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(n).cast("string").alias(str(k)) for k, n in enumerate(names)])), 256)).alias("__told")
+
+    def offending(expected: DataFrame, actual: DataFrame, key: str, contract: str) -> DataFrame:
+        e, a = expected.select(key, "__told").alias("e"), actual.select(key, told(own)).alias("a")
         both = e.join(a, F.col(f"e.{key}") == F.col(f"a.{key}"), "full")
-        wrong = F.col(f"e.{key}").isNull() | F.col(f"a.{key}").isNull()
-        for x, y in ((extra, extra), *pairs):
-            wrong = wrong | differs(F.col(f"e.{x}"), F.col(f"a.{y}"))
+        wrong = F.col(f"e.{key}").isNull() | F.col(f"a.{key}").isNull() | differs(F.col("e.__told"), F.col("a.__told"))
         return both.where(wrong).select(F.lit(contract).alias("contract"), F.coalesce(F.col(f"e.{key}"), F.col(f"a.{key}")).alias("offending_id"))
 
+    eligible = tables[f"{product}_state_transitions"].select("run_id", "transition_id", "logical_key", "ordinal", "commit_sequence", told(raw)).join(runs, "run_id")
     order = W.partitionBy("logical_key").orderBy(F.desc("ordinal"), *[F.desc(c) for c in STATE_ORDER[1:]])
     expected = eligible.withColumn("__r", F.row_number().over(order)).where("__r = 1")
-    return offending(eligible, states, "transition_id", "logical_key", "history").unionByName(offending(expected, fact, "logical_key", "transition_id", "current"))
+    return offending(eligible, states, "transition_id", "history").unionByName(offending(expected, fact, "logical_key", "current"))
 
 
 def valid_facts(tables: Tables, product: str, fact: DataFrame | None = None) -> DataFrame:
