@@ -45,3 +45,8 @@ def test_reconciled_rows_travel_as_a_key_and_a_digest(spark, sf):
     before = {tuple(r) for r in quality.reconcile(raw, "lmp", states, fact).collect()}
     after = {tuple(r) for r in quality.reconcile(raw, "lmp", states.withColumn("state_known_at", moved), fact).collect()}
     assert after - before == {("history", some)} and not before - after
+
+
+def test_contents_of_no_fact_meet_no_rule(spark, sf):
+    raw = generated.tables(spark, sf)
+    assert "LeftSemi" in plan(quality.valid_facts(raw, "lmp", generated.fact_of(raw, "lmp")))

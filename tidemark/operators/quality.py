@@ -74,10 +74,12 @@ def valid_facts(tables: Tables, product: str, fact: DataFrame | None = None) ->
     own = PRODUCTS[product]
     fact = (fact if fact is not None else tables[FACTS[product]]).alias("f")
     runs = tables["ingestion_runs"].select("run_id", "status", "knowledge_at")
+    # Contents of no fact are left behind before whole rows of contents are dealt out.
+    contents = tables[f"{product}_contents"].join(fact.select("content_id"), "content_id", "left_semi")
     joined = (
         fact.join(runs.alias("r"), F.col("f.state_run_id") == F.col("r.run_id"), "left")
         .join(runs.alias("cr"), F.col("f.first_run_id") == F.col("cr.run_id"), "left")
-        .join(tables[f"{product}_contents"].alias("c"), F.col("f.content_id") == F.col("c.content_id"), "left")
+        .join(contents.alias("c"), F.col("f.content_id") == F.col("c.content_id"), "left")
     )
     f, c = (lambda n: F.col(f"f.{n}")), (lambda n: F.col(f"c.{n}"))
     start, end = f("interval_start_utc"), f("interval_end_utc")
