@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.test_queries import plan
 from tidemark.operators import quality
-from tidemark.plans import generated, models
+from tidemark.plans import generated, models, relational
 
 
 def widths(text, node):
@@ -50,3 +50,15 @@ def test_reconciled_rows_travel_as_a_key_and_a_digest(spark, sf):
 def test_contents_of_no_fact_meet_no_rule(spark, sf):
     raw = generated.tables(spark, sf)
     assert "LeftSemi" in plan(quality.valid_facts(raw, "lmp", generated.fact_of(raw, "lmp")))
+
+
+def test_slices_are_counted_by_tasks_that_follow_the_size(spark, sf):
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet")
+    text = plan(relational.verify_slices(spark, sf))
+    assert f"hashpartitioning(l_orderkey#{re.search(r'hashpartitioning.l_orderkey#(\d+)', text)[1]}L, {8 * rows.rdd.getNumPartitions()})" in text
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        splits = spark.read.parquet(f"{sf}/lineitem.parquet").rdd.getNumPartitions()
+        assert splits > rows.rdd.getNumPartitions() and f", {8 * splits})" in plan(relational.verify_slices(spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
