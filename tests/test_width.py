@@ -8,7 +8,8 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tests.test_queries import plan
-from tidemark.operators import quality
+from tidemark.functions.identity import packed, unpacked
+from tidemark.operators import bloom, quality
 from tidemark.plans import generated, models, relational
 
 
@@ -62,3 +63,52 @@ def test_slices_are_counted_by_tasks_that_follow_the_size(spark, sf):
         assert splits > rows.rdd.getNumPartitions() and f", {8 * splits})" in plan(relational.verify_slices(spark, sf))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_any_text_comes_back_from_its_bytes(spark):
+    texts = ["", "0", "00", "ab", "abc", "AB", "aB", "61", "a", "00ab", "01ab", "xyz", "Ж?", "a" * 64, "a" * 64 + "?", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed(F.col("t"))).withColumn("back", unpacked(F.col("p")))
+    got = rows.collect()
+    assert all(r.t == r.back for r in got) and len({bytes(r.p) for r in got if r.p is not None}) == len(texts) - 1
+    assert {len(r.p) for r in got if r.t == "a" * 64} == {33}
+
+
+def test_ids_that_are_no_hex_give_the_same_states(spark, sf):
+    raw = dict(generated.tables(spark, sf, "load"))
+    for name, columns in (("load_contents", ("content_id", "logical_key")), ("load_state_transitions", ("transition_id", "content_id", "logical_key"))):
+        raw[name] = raw[name].withColumns({c: F.concat(F.lit("no hex "), F.col(c)) for c in columns})
+    states = models.history(raw, "load")
+    found, whole = models.fact(raw, "load", generated._ranked), models.current(states)
+    assert found.count() > 0 and found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
+    whole = states.select("transition_id", "logical_key", "content_id").withColumn("n", F.length("transition_id"))
+    assert whole.where("n <> 71 OR logical_key NOT LIKE 'no hex %' OR content_id NOT LIKE 'no hex %'").isEmpty()
+    wrong = quality.reconcile(raw, "load", fact=found.where("hour(interval_start_utc) > 0")).where("contract = 'current'")
+    assert wrong.count() > 0 and wrong.where("offending_id NOT LIKE 'no hex %'").isEmpty()
+
+
+def test_states_stay_where_they_lie_while_their_runs_are_looked_up(spark, sf, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = generated.tables(spark, sf, "load")
+        few = models.stg_transitions(raw, "load")
+        assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" not in plan(few)
+        monkeypatch.setattr(generated, "MOST_RUNS", 0)
+        many = models.stg_transitions(generated.tables(spark, sf, "load"), "load")
+        assert "SortMergeJoin" in plan(many) and few.count() > 0 and few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ids_are_dealt_out_as_bytes(spark, sf):
+    raw = generated.tables(spark, sf, "load")
+    for frame in (models.history(raw, "load"), models.latest(raw, "load"), quality.reconcile(raw, "load", fact=generated.fact_of(raw, "load"))):
+        assert "unhex" in plan(frame)
+
+
+def test_whole_contents_are_dealt_out_behind_a_filter(spark, sf, monkeypatch):
+    raw = generated.tables(spark, sf, "load")
+    filtered = models.fact(raw, "load", generated._ranked)
+    assert "__bits" in plan(filtered)
+    monkeypatch.setattr(bloom.cut, "__defaults__", (0,))
+    whole = models.fact(raw, "load", generated._ranked)
+    assert "__bits" not in plan(whole) and filtered.exceptAll(whole).isEmpty() and whole.exceptAll(filtered).isEmpty()

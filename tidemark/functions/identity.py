@@ -18,6 +18,18 @@ WAREHOUSE_SCHEMA = "warehouse/v1"
 UNIT_NAMESPACE = "backfill-unit/v1:"
 
 
+def packed(text: Column) -> Column:
+    """Text as bytes that ``unpacked`` turns back: lowercase hex as the bytes it spells, half as wide, after a 1; any
+    other text as it is, after a 0. So equal bytes are equal texts, whatever the ids look like."""
+    spelled = F.unhex(text)
+    return F.when(F.lower(F.hex(spelled)) == text, F.concat(F.unhex(F.lit("01")), spelled)).otherwise(F.concat(F.unhex(F.lit("00")), F.encode(text, "UTF-8")))
+
+
+def unpacked(held: Column) -> Column:
+    rest = F.substring(held, 2, 2**31 - 1)
+    return F.when(F.substring(held, 1, 1) == F.unhex(F.lit("01")), F.lower(F.hex(rest))).otherwise(F.decode(rest, "UTF-8"))
+
+
 def decimal_text(value: Column) -> Column:
     """Fixed point without trailing zeros of the fraction; any zero is ``0``."""
     plain = F.regexp_replace(value.cast("decimal(38,9)").cast("string"), r"\.?0+$", "")

@@ -45,6 +45,13 @@ def maybe(frame: DataFrame, key: str, bloom: DataFrame, words: int) -> DataFrame
     return frame.join(F.broadcast(bloom), (_word(F.col(key), words) == F.col("__word")) & (F.col("__bits").bitwiseAND(own) == own), "left_semi")
 
 
+def cut(parent: DataFrame, key: str, keys: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
+    """The parent's rows whose key may be among those of ``keys``, a stored frame with a column of that name; the parent whole
+    if there are too many of them. An exact join decides afterwards."""
+    words = words_for(keys.count())
+    return maybe(parent, key, filter_of(keys, key, words), words) if words <= most_words else parent
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str, seen: Observation | None = None, most_words: int = MOST_WORDS) -> DataFrame:
     """(column, n): keys of ``child`` that ``parent`` lacks, and their rows. Nulls have no parent to miss. Keys are of one type.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import timez
-from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA
+from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, packed, unpacked
 from tidemark.plans.models import FACTS, STATE_ORDER, battery_inputs, history
 from tidemark.schemas import BATTERY_INPUTS, HUBS, MEASURES, PRODUCTS, SOURCE
 
@@ -58,10 +58,10 @@ def reconcile(tables: Tables, product: str, states: DataFrame | None = None, fac
         return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(n).cast("string").alias(str(k)) for k, n in enumerate(names)])), 256)).alias("__told")
 
     def offending(expected: DataFrame, actual: DataFrame, key: str, contract: str) -> DataFrame:
-        e, a = expected.select(key, "__told").alias("e"), actual.select(key, told(own)).alias("a")
+        e, a = expected.select(packed(F.col(key)).alias(key), "__told").alias("e"), actual.select(packed(F.col(key)).alias(key), told(own)).alias("a")
         both = e.join(a, F.col(f"e.{key}") == F.col(f"a.{key}"), "full")
         wrong = F.col(f"e.{key}").isNull() | F.col(f"a.{key}").isNull() | differs(F.col("e.__told"), F.col("a.__told"))
-        return both.where(wrong).select(F.lit(contract).alias("contract"), F.coalesce(F.col(f"e.{key}"), F.col(f"a.{key}")).alias("offending_id"))
+        return both.where(wrong).select(F.lit(contract).alias("contract"), unpacked(F.coalesce(F.col(f"e.{key}"), F.col(f"a.{key}"))).alias("offending_id"))
 
     eligible = tables[f"{product}_state_transitions"].select("run_id", "transition_id", "logical_key", "ordinal", "commit_sequence", told(raw)).join(runs, "run_id")
     order = W.partitionBy("logical_key").orderBy(F.desc("ordinal"), *[F.desc(c) for c in STATE_ORDER[1:]])

@@ -38,7 +38,7 @@ def candidates(states: DataFrame, stored: DataFrame) -> DataFrame:
     return models.current(states.where(F.col("commit_sequence") > mark))
 
 
-def candidates_of(tables: models.Tables, product: str, stored: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
+def candidates_of(tables: models.Tables, product: str, stored: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``candidates`` of all states of the tables, ranked without the columns of their contents (``models.latest``)."""
     mark, name = stored.agg(F.coalesce(F.max("commit_sequence"), F.lit(0))).scalar(), f"{product}_state_transitions"
     return models.latest({**tables, name: tables[name].where(F.col("commit_sequence") > mark)}, product, keep)

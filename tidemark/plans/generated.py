@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 _ZERO = datetime(2026, 9, 1)
+MOST_RUNS = 1 << 20  # Fixed value: runs that are sent to all executors at most, about 100 MB; more are dealt out.
 _PROVENANCE = {"retrieved_at_utc": _ZERO, "source_url": "events", "source_method": "generated", "library_version": "1"}
 
 
@@ -110,7 +111,7 @@ def _shaped(frame: DataFrame, table: str, made: dict[str, Column]) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str, product: str = "lmp") -> dict[str, DataFrame]:
     """The raw tables: a transition for each observation, contents once with their first run, and all runs. Identities
-    are computed once and kept, as the tables are joined with each other many times."""
+    and runs are computed once and kept, as the tables are joined with each other many times."""
     rows = stored(spark, sf_dir, product)
     transitions = _shaped(rows, f"{product}_state_transitions", {"transition_id": F.sha2(F.concat_ws("/", "run_id", "logical_key"), 256), "ordinal": F.col("r"), "known_at": F.col("known")})
     contents = _shaped(rows.where("r = first_r"), f"{product}_contents", {"first_run_id": F.col("run_id"), "first_seen_at": F.col("known")})
@@ -124,6 +125,9 @@ def tables(spark: SparkSession, sf_dir: str, product: str = "lmp") -> dict[str,
             "logical_key_schema": F.lit(KEY_SCHEMA), "content_hash_schema": F.lit(CONTENT_SCHEMA), "knowledge_at": F.col("known"), "completed_at": F.col("known"), "rows_accepted": F.col("n"), "new_transitions": F.col("n"), "new_contents": F.lit(0),
         },
     )
+    runs = kept(runs, "runs")
+    # A run brings many rows: those stay where they lie, if there aren't too many runs.
+    runs = F.broadcast(runs) if runs.count() <= MOST_RUNS else runs
     return {"ingestion_runs": runs, f"{product}_contents": contents, f"{product}_state_transitions": transitions}
 
 

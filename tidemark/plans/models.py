@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import timez
+from tidemark.functions.identity import packed, unpacked
+from tidemark.operators import bloom
 from tidemark.schemas import BATTERY_INPUTS, RAW, assert_contract, fact_columns
 
 Tables = Mapping[str, DataFrame]
@@ -50,10 +52,21 @@ def _states(tables: Tables, product: str) -> DataFrame:
     )
 
 
+def _packed(frame: DataFrame, *names: str) -> DataFrame:
+    """Ids as bytes, half as wide, while rows are dealt out."""
+    return frame.withColumns({n: packed(F.col(n)) for n in names})
+
+
+def _unpacked(frame: DataFrame, *names: str) -> DataFrame:
+    return frame.withColumns({n: unpacked(F.col(n)) for n in names})
+
+
 def history(tables: Tables, product: str) -> DataFrame:
     """Eligible transitions with their contents; a transition whose content isn't eligible is left out."""
     contents = stg_contents(tables, product).withColumnRenamed("retrieved_at_utc", "content_retrieved_at_utc")
-    return _states(tables, product).join(contents, "content_id").select(*[n for n, _ in fact_columns(product)])
+    of_content, of_state = ("logical_key", "content_hash", "first_run_id"), ("transition_id", "state_run_id")
+    states = _packed(_states(tables, product), "content_id", *of_state).join(_packed(contents, "content_id", *of_content), "content_id")
+    return _unpacked(states, "content_id", *of_content, *of_state).select(*[n for n, _ in fact_columns(product)])
 
 
 def current(states: DataFrame) -> DataFrame:
@@ -62,18 +75,22 @@ def current(states: DataFrame) -> DataFrame:
     return states.withColumn("state_rank", F.row_number().over(order)).where("state_rank = 1").drop("state_rank")
 
 
-def latest(tables: Tables, product: str, keep: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
+def latest(tables: Tables, product: str, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``current(history(...))``, but states are ranked with ids and keys of contents alone; the other columns of a
-    content, most of a row's width, meet only the states that stay. ``keep`` may store these, so that Spark knows
-    how few they are before it deals out contents."""
-    ids = stg_contents(tables, product).select("content_id", "logical_key")
-    ranked = keep(current(_states(tables, product).join(ids, "content_id")))
+    content, most of a row's width, meet only the states that stay. ``keep`` may store these: contents that none of them
+    has are then left where they lie, behind a Bloom filter. Transitions' ids stay text, as they decide ties."""
+    ids = _packed(stg_contents(tables, product).select("content_id", "logical_key"), "content_id", "logical_key")
+    joined = _packed(_states(tables, product), "content_id", "state_run_id").join(ids, "content_id")
+    ranked = _unpacked(current(joined), "content_id", "logical_key", "state_run_id")
     contents = tables[f"{product}_contents"].select(*RAW[f"{product}_contents"].names).withColumnRenamed("retrieved_at_utc", "content_retrieved_at_utc")
+    if keep:
+        ranked = keep(ranked)
+        contents = bloom.cut(contents, "content_id", ranked)
     found = ranked.join(contents, ["content_id", "logical_key"]).join(_succeeded(tables, "first_run_id"), "first_run_id")
     return current(found.select(*[n for n, _ in fact_columns(product)]))
 
 
-def fact(tables: Tables, product: str, keep: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
+def fact(tables: Tables, product: str, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The full refresh of a product's current-state fact, under its contract."""
     return assert_contract(latest(tables, product, keep), fact_columns(product), FACTS[product])
 
