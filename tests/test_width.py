@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.test_queries import plan
 from tidemark.functions.identity import packed, unpacked
 from tidemark.operators import bloom, quality
-from tidemark.plans import generated, models, relational
+from tidemark.plans import generated, load, models, relational
 
 
 def widths(text, node):
@@ -112,3 +112,14 @@ def test_whole_contents_are_dealt_out_behind_a_filter(spark, sf, monkeypatch):
     monkeypatch.setattr(bloom.cut, "__defaults__", (0,))
     whole = models.fact(raw, "load", generated._ranked)
     assert "__bits" not in plan(whole) and filtered.exceptAll(whole).isEmpty() and whole.exceptAll(filtered).isEmpty()
+
+
+def test_contents_far_from_a_fact_are_left_where_they_lie(spark, sf):
+    raw = generated.tables(spark, sf, "load")
+    fact = generated.fact_of(raw, "load")
+    wrong = fact.withColumn("load", F.when(F.hour("interval_start_utc") % 2 == 0, -F.col("load") - 1).otherwise(F.col("load")).cast("decimal(38,9)"))
+    few = generated.near(raw, "load", wrong)
+    assert fact.count() <= few["load_contents"].count() < raw["load_contents"].count()
+    cut, whole = quality.valid_facts(few, "load", wrong), quality.valid_facts(raw, "load", wrong)
+    assert 0 < cut.count() < fact.count() and cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+    assert "__bits" in plan(load.spoiled(spark, sf, "load"))

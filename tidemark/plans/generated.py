@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timez
 from tidemark.functions.identity import CONTENT_SCHEMA, KEY_SCHEMA, WAREHOUSE_SCHEMA
-from tidemark.operators import normalize, quality, revision, upsert
+from tidemark.operators import bloom, normalize, quality, revision, upsert
 from tidemark.plans import models
 from tidemark.schemas import HUBS, NUMERIC, PRODUCTS, RAW, SOURCE, VERSION
 from tidemark.session import ensure_checkpoint_dir
@@ -222,6 +222,12 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return kept(rows, "ranked")
 
 
+def near(raw: dict[str, DataFrame], product: str, fact: DataFrame) -> dict[str, DataFrame]:
+    """The raw tables, from which most contents that no row of a kept fact names are left out, so that few are dealt out."""
+    name = f"{product}_contents"
+    return raw | {name: bloom.cut(raw[name], "content_id", fact.where("content_id IS NOT NULL"))}
+
+
 def fact_of(raw: dict[str, DataFrame], product: str) -> DataFrame:
     """The full refresh, kept as a fact is, so that what reads it several times works it out once."""
     return kept(models.fact(raw, product, _ranked), f"{product}-fact")
@@ -257,7 +263,7 @@ def market_valid_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = fact_of(raw, "lmp")
     fact = fact.withColumn("unit", F.when(F.hour("interval_start_utc") % 5 == 0, "kWh").otherwise(F.col("unit")))
     fact = fact.withColumn("state_known_at", F.when(F.dayofmonth("market_date") == 9, F.col("state_known_at") + F.expr("interval 1 minute")).otherwise(F.col("state_known_at")))
-    return quality.valid_facts(raw, "lmp", fact)
+    return quality.valid_facts(near(raw, "lmp", fact), "lmp", fact)
 
 
 @query("""SELECT market_date, location FROM fact GROUP BY 1, 2, hub_no HAVING hub_no = 2 OR day(market_date) % 4 = 0""")

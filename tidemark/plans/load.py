@@ -133,7 +133,7 @@ def spoiled(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
         for name, value in columns.items():
             changed[name] = F.when(F.col("way") == k, value.cast(kinds[name])).otherwise(changed.get(name, F.col(name)))
     bad = fact.withColumns(changed)
-    found = quality.valid_facts(raw, product, bad.drop("way")).select("logical_key", F.lit(1).alias("found"))
+    found = quality.valid_facts(generated.near(raw, product, bad), product, bad.drop("way")).select("logical_key", F.lit(1).alias("found"))
     names = F.array(*[F.lit(n) for n, _ in ways])
     rule = F.element_at(names, F.col("way") + 1)
     return bad.join(found, "logical_key", "left").groupBy(rule.alias("rule")).agg(F.count("*").alias("facts"), F.count("found").alias("offenders"))
